@@ -1,0 +1,29 @@
+"""Join helpers: broadcast only behind a size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimensions above this many rows are joined by shuffle, not broadcast.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_bounded(df: DataFrame, known_max_rows: int, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a side whose row count is bounded by construction.
+
+    ``known_max_rows`` is a proof from the caller (e.g. days in a date
+    range); beyond ``limit`` the side is left to a shuffle join.
+    """
+    return F.broadcast(df) if known_max_rows <= limit else df
+
+
+def broadcast_checked(df: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``limit`` rows.
+
+    The check reads at most ``limit + 1`` rows of a dimension-sized input;
+    a larger side falls back to a shuffle (sort-merge) join, where AQE can
+    still split skewed partitions.
+    """
+    n = df.limit(limit + 1).count()
+    return F.broadcast(df) if n <= limit else df
