@@ -232,3 +232,191 @@ def q_airport(m: TripModel) -> DataFrame:
 def q_zone_match(m: TripModel) -> DataFrame:
     """The same LIKE '%..%' top-k with a pattern the driver tables' zones hit."""
     return m.airport_routes("AN", 5)
+
+
+# -- dimensions (each with its usage by the fact, so the work grows with it) --
+
+
+def _with_usage(dim: DataFrame, dim_key: str, fact: DataFrame, fact_key: str) -> DataFrame:
+    used = usage_counts(fact, fact_key).withColumnRenamed(fact_key, dim_key)
+    return dim.join(used, dim_key, "left").withColumn("trips", F.coalesce("trips", F.lit(0)).cast("long"))
+
+
+def _usage_sql(dim_cte: str, dim_key: str, fact_key: str) -> str:
+    return (
+        f"select d.*, coalesce(u.trips, 0)::bigint as trips from {dim_cte} d left join "
+        f"(select {fact_key} as k, count(*) as trips from fact group by 1) u on d.{dim_key} = u.k"
+    )
+
+
+@register(
+    "dim_date",
+    W(
+        *O.FACT_CHAIN,
+        "span as (select min(pickup_datetime)::date as lo, max(pickup_datetime)::date as hi from fact)",
+        "days as (select cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as d from span)",
+        f"dd as ({O.date_attrs('days')})",
+    )
+    + _usage_sql("dd", "date_key", "pickup_date_key"),
+)
+def q_dim_date(m: TripModel) -> DataFrame:
+    """Date dimension spanning the fact's pickup days (range from the data)."""
+    return _with_usage(dims.dim_date_spanning(m.fact, "pickup_datetime"), "date_key", m.fact, "pickup_date_key")
+
+
+@register("dim_time", W(*O.FACT_CHAIN, O.DIM_TIME) + _usage_sql("dim_time", "time_key", "pickup_time_key"))
+def q_dim_time(m: TripModel) -> DataFrame:
+    return _with_usage(m.dim_time, "time_key", m.fact, "pickup_time_key")
+
+
+@register(
+    "dim_location",
+    W(*O.FACT_CHAIN, O.DIM_LOCATION) + _usage_sql("dim_location", "location_id", "pickup_location_id"),
+)
+def q_dim_location(m: TripModel) -> DataFrame:
+    """Zone lookup written as a quoted CRLF CSV, read back with a declared
+    schema, staged, plus the Unknown member."""
+    from starlane.operators.standardize import stage_zones
+    from starlane.session import scratch_path
+    from starlane.sources.lookups import ZONE_SCHEMA, read_lookup, write_lookup
+
+    path = write_lookup(m.zone_lookup, scratch_path(m.spark, "zone-lookup"))
+    dim = dims.dim_location(stage_zones(read_lookup(m.spark, path, ZONE_SCHEMA)))
+    return _with_usage(dim, "location_id", m.fact, "pickup_location_id")
+
+
+def _values(rows) -> str:
+    def lit(v):
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return str(v)
+
+    return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+
+
+def _dim_lookup_sql() -> str:
+    from starlane.sources.lookups import PAYMENT_TYPES, RATE_CODES
+
+    return W(
+        *O.FACT_CHAIN,
+        f"rc as (select * from (values {_values(RATE_CODES)}) t(id, name, description))",
+        f"pt as (select * from (values {_values(PAYMENT_TYPES)}) t(id, name, is_cash))",
+    ) + (
+        "select 'rate_code' as lookup, rc.id::integer as id, rc.name, coalesce(u.trips, 0)::bigint as trips "
+        "from rc left join (select rate_code_id as k, count(*) as trips from fact group by 1) u on rc.id = u.k "
+        "union all "
+        "select 'payment_type', pt.id::integer, pt.name, coalesce(u.trips, 0)::bigint "
+        "from pt left join (select payment_type_id as k, count(*) as trips from fact group by 1) u on pt.id = u.k"
+    )
+
+
+@register("dim_lookup", _dim_lookup_sql())
+def q_dim_lookup(m: TripModel) -> DataFrame:
+    """Rate-code and payment-type dimensions with their fact usage."""
+    rc = _with_usage(m.dim_rate_code, "rate_code_id", m.fact, "rate_code_id").select(
+        F.lit("rate_code").alias("lookup"), F.col("rate_code_id").alias("id"), F.col("rate_code_name").alias("name"),
+        "trips",
+    )
+    pt = _with_usage(m.dim_payment_type, "payment_type_id", m.fact, "payment_type_id").select(
+        F.lit("payment_type").alias("lookup"), F.col("payment_type_id").alias("id"),
+        F.col("payment_name").alias("name"), "trips",
+    )
+    return rc.unionByName(pt)
+
+
+# -- data-quality checks ---------------------------------------------------------
+
+
+@register(
+    "check_not_null",
+    W(*O.STAGED) + f"select {O.STD_COLUMNS} from stg_yellow where pickup_location_id is null",
+)
+def q_check_not_null(m: TripModel) -> DataFrame:
+    return checks.not_null(m.stg_yellow, "pickup_location_id").select(*STD_OUT)
+
+
+@register(
+    "check_unique",
+    W(*O.FACT_CHAIN)
+    + "select trip_id, count(*) as n_records from fact_keyed where trip_id is not null "
+    "group by trip_id having count(*) > 1",
+)
+def q_check_unique(m: TripModel) -> DataFrame:
+    """Trip ids repeated before deduplication."""
+    return checks.unique(m.fact_rows, "trip_id")
+
+
+@register(
+    "check_accepted_values",
+    W(*O.STAGED, "trips_union as (select * from stg_yellow union all select * from stg_green)")
+    + "select taxi_type as value_field, count(*) as n_records from trips_union "
+    "where taxi_type is not null and taxi_type not in ('yellow') group by 1",
+)
+def q_check_accepted_values(m: TripModel) -> DataFrame:
+    """The yellow-staging rule (taxi_type in {yellow}) applied to the union."""
+    return checks.accepted_values(m.trips_union, "taxi_type", ["yellow"])
+
+
+@register(
+    "check_relationships",
+    W(*O.FACT_CHAIN, O.DIM_LOCATION)
+    + f"select {O.FACT_COLS} from fact f where pickup_location_id is not null and not exists "
+    "(select 1 from dim_location d where d.location_id = f.pickup_location_id)",
+)
+def q_check_relationships(m: TripModel) -> DataFrame:
+    return checks.relationships(m.fact, "pickup_location_id", m.dim_location, "location_id").select(*FACT_OUT)
+
+
+@register(
+    "check_accepted_range",
+    W(*O.MART_CHAIN) + "select * from mart_hourly where hour_of_day is not null and not (hour_of_day between 0 and 23)",
+)
+def q_check_accepted_range(m: TripModel) -> DataFrame:
+    return checks.accepted_range(m.hourly(), "hour_of_day", 0, 23)
+
+
+@register(
+    "check_non_negative",
+    W(O.FIXTURE, O.raw_feed("yellow")) + "select * from raw_yellow where trip_distance < 0",
+)
+def q_check_non_negative(m: TripModel) -> DataFrame:
+    """The positive_value test on the raw yellow feed (zero passes)."""
+    return checks.non_negative(m.raw_yellow, "trip_distance")
+
+
+FACT_NOT_NULL = [
+    "trip_id", "pickup_date_key", "pickup_time_key", "dropoff_date_key", "dropoff_time_key",
+    "pickup_location_id", "dropoff_location_id", "rate_code_id", "payment_type_id", "taxi_type",
+    "trip_distance", "trip_duration_minutes", "fare_amount", "tip_amount", "total_amount",
+]
+
+
+def _suite_checks():
+    return (
+        [checks.not_null_check(c) for c in FACT_NOT_NULL]
+        + [checks.accepted_values_check("taxi_type", ["yellow", "green"])]
+        + [checks.non_negative_check(c) for c in ("trip_distance", "fare_amount", "tip_percentage")]
+        + [checks.range_check("pickup_time_key", 0, 2359), checks.range_check("passenger_count", 1, 4)]
+    )
+
+
+def _suite_sql() -> str:
+    parts = [f"select 'not_null' as check_name, '{c}' as column_name, count(*) filter (where {c} is null) as failures from fact" for c in FACT_NOT_NULL]
+    parts.append("select 'accepted_values', 'taxi_type', count(*) filter (where taxi_type is not null and taxi_type not in ('yellow', 'green')) from fact")
+    parts += [f"select 'non_negative', '{c}', count(*) filter (where {c} < 0) from fact" for c in ("trip_distance", "fare_amount", "tip_percentage")]
+    parts.append("select 'accepted_range', 'pickup_time_key', count(*) filter (where pickup_time_key < 0 or pickup_time_key > 2359) from fact")
+    parts.append("select 'accepted_range', 'passenger_count', count(*) filter (where passenger_count < 1 or passenger_count > 4) from fact")
+    return W(*O.FACT_CHAIN) + " union all ".join(parts)
+
+
+@register("check_suite", _suite_sql())
+def q_check_suite(m: TripModel) -> DataFrame:
+    """All fact checks in one scan."""
+    return checks.check_suite(m.fact, _suite_checks())
+
+
+@register("quality_report", O.quality_sql())
+def q_quality(m: TripModel) -> DataFrame:
+    return m.quality()

@@ -48,17 +48,22 @@ class TripModel:
         self.p = params
 
     # -- sources -------------------------------------------------------
+    @cached_property
+    def landed(self) -> str:
+        return fixture.land_trip_feeds(self.spark, self.sf_dir)
+
     @cached_property
     def raw(self) -> DataFrame:
-        return fixture.trip_feed(self.spark, self.sf_dir)
+        """Both landed feeds, with ``taxi_type``."""
+        return self.spark.read.parquet(self.landed)
 
     @cached_property
     def raw_yellow(self) -> DataFrame:
-        return fixture.feed(self.raw, "yellow")
+        return fixture.landed_feed(self.spark, self.landed, "yellow")
 
     @cached_property
     def raw_green(self) -> DataFrame:
-        return fixture.feed(self.raw, "green")
+        return fixture.landed_feed(self.spark, self.landed, "green")
 
     @cached_property
     def zone_lookup(self) -> DataFrame:

@@ -47,14 +47,20 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips of both feeds (13 columns incl. ``taxi_type``)."""
+    """Raw trips of both feeds (13 columns incl. ``taxi_type``), in one pass.
+
+    Every 25th order is delivered twice, the copy paid in cash; the copy is
+    made with ``explode`` so the joined input is read once.
+    """
     ok, ln, pk, sk = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     minute = (ok * 37 + ln * 11) % 1440
     second = (pk * 7 + sk * 13 + ln * 1009 + ok * 3) % 20000 - 200
     pickup = F.timestamp_add("MINUTE", minute, F.col("o_orderdate"))
     dropoff = F.timestamp_add("SECOND", second, pickup)
     price = F.col("l_extendedprice")
-    once = _base(spark, sf_dir).select(
+    copies = F.when(ok % 25 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    payment = F.when(ok % 40 == 0, F.lit(None)).otherwise((1 + sk % 6).cast("int"))
+    return _base(spark, sf_dir).select(
         (1 + ln % 2).cast("int").alias("VendorID"),
         F.when(ok % 50 == 0, F.lit(None)).otherwise((1 + pk % 6).cast("int")).alias("RatecodeID"),
         F.when(ok % 90 == 0, F.lit(None))
@@ -63,7 +69,7 @@ def trip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast("int")
         .alias("PULocationID"),
         (F.col("s_nationkey") + 1).cast("int").alias("DOLocationID"),
-        F.when(ok % 40 == 0, F.lit(None)).otherwise((1 + sk % 6).cast("int")).alias("payment_type"),
+        payment.alias("payment_type"),
         F.when(ok % 77 == 0, F.lit(None)).otherwise(pickup).alias("pickup_datetime"),
         dropoff.alias("dropoff_datetime"),
         F.when(ln == 7, F.lit(None)).otherwise((1 + pk % 5).cast("int")).alias("passenger_count"),
@@ -77,11 +83,47 @@ def trip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor(price * F.col("l_discount")) / F.lit(100.0)).alias("tip_amount"),
         (F.floor(price * (1 + F.col("l_tax"))) / F.lit(100.0)).alias("total_amount"),
         F.when(ok % 4 != 0, F.lit("yellow")).otherwise(F.lit("green")).alias("taxi_type"),
-        ok.alias("l_orderkey"),
+        F.explode(copies).alias("_copy"),
+    ).select(
+        *[
+            F.when(F.col("_copy"), F.lit(2)).otherwise(F.col(c)).alias(c) if c == "payment_type" else F.col(c)
+            for c in RAW_TRIP_COLUMNS
+        ]
+    )
+
+
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def land_trip_feeds(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    """Write the raw trips as Parquet, one folder per feed (``taxi_type=...``).
+
+    Real feeds arrive as files, and reading files back keeps the derived
+    fixture expressions out of every downstream plan. The landing is a
+    written table under the checkpoint root, so it also cuts lineage; it is
+    done once per session and driver-table folder.
+    """
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    if root is None and memo in _LANDED:
+        return _LANDED[memo]
+    from starlane.session import scratch_path
+
+    target = root or scratch_path(spark, "landed-trips")
+    trip_feed(spark, sf_dir).write.mode("overwrite").partitionBy("taxi_type").parquet(target)
+    if root is None:
+        _LANDED[memo] = target
+    return target
+
+
+def landed_feed(spark: SparkSession, root: str, taxi_type: str) -> DataFrame:
+    """One landed feed with its native timestamp names (a Parquet folder scan)."""
+    prefix = "tpep" if taxi_type == "yellow" else "lpep"
+    return spark.read.parquet(f"{root}/taxi_type={taxi_type}").withColumnsRenamed(
+        {
+            "pickup_datetime": f"{prefix}_pickup_datetime",
+            "dropoff_datetime": f"{prefix}_dropoff_datetime",
+        }
     )
-    # Every 25th order is delivered twice, the copy paid in cash.
-    copies = once.where(F.col("l_orderkey") % 25 == 0).withColumn("payment_type", F.lit(2))
-    return once.select(*RAW_TRIP_COLUMNS).unionByName(copies.select(*RAW_TRIP_COLUMNS))
 
 
 def feed(raw: DataFrame, taxi_type: str) -> DataFrame:
