@@ -420,3 +420,293 @@ def q_check_suite(m: TripModel) -> DataFrame:
 @register("quality_report", O.quality_sql())
 def q_quality(m: TripModel) -> DataFrame:
     return m.quality()
+
+
+# -- incremental loads (each writes a fact under the checkpoint root) -------------
+
+
+def _enriched_where(m: TripModel, cond) -> DataFrame:
+    return m.enriched.where(cond)
+
+
+def _pu(ts: str):
+    from starlane.functions.scalars import ntz
+
+    return ntz(ts)
+
+
+def _inc_sql(b1: str, b2: str, final: str) -> str:
+    return W(
+        *O.CHAIN,
+        f"b1 as (select * from enriched where {b1})",
+        f"b2 as (select * from enriched where {b2})",
+        O.fact_from("b1", "f1"),
+        "hw as (select coalesce(max(pickup_datetime), timestamp '1900-01-01') as m from f1)",
+        "b2n as (select * from b2 where pickup_datetime > (select m from hw))",
+        O.fact_from("b2n", "f2"),
+        O.fact_from("b2", "f2all"),
+    ) + final
+
+
+@register(
+    "incremental_append",
+    _inc_sql(
+        "pickup_datetime < timestamp '1999-01-01'",
+        "pickup_datetime >= timestamp '1999-01-01'",
+        f"select {O.FACT_COLS} from f1 union all select {O.FACT_COLS} from f2",
+    ),
+)
+def q_incremental_append(m: TripModel) -> DataFrame:
+    """First load, then an appended batch, then the same batch again (adds 0 rows)."""
+    from starlane.operators.incremental import load_incremental, read_fact
+    from starlane.session import scratch_path
+
+    target = scratch_path(m.spark, "fact-append")
+    pu = F.col("pickup_datetime")
+    load_incremental(m.spark, target, m.enriched.where(pu < _pu("1999-01-01")), "append")
+    batch = m.enriched.where(pu >= _pu("1999-01-01"))
+    load_incremental(m.spark, target, batch, "append")
+    load_incremental(m.spark, target, batch, "append")
+    return read_fact(m.spark, target).select(*FACT_OUT)
+
+
+@register(
+    "incremental_late_rows",
+    _inc_sql(
+        "(taxi_type = 'yellow' and pickup_datetime < timestamp '1999-01-01') "
+        "or (taxi_type = 'green' and pickup_datetime < timestamp '1998-01-01')",
+        "pickup_datetime >= timestamp '1998-01-01'",
+        f"select {O.FACT_COLS} from f1 union all select {O.FACT_COLS} from f2",
+    ),
+)
+def q_incremental_late(m: TripModel) -> DataFrame:
+    """The green feed lags a year; its late rows fall under the shared
+    high-water mark and are skipped, as in the reference."""
+    from starlane.operators.incremental import load_incremental, read_fact
+    from starlane.session import scratch_path
+
+    target = scratch_path(m.spark, "fact-late")
+    pu, tt = F.col("pickup_datetime"), F.col("taxi_type")
+    first = ((tt == "yellow") & (pu < _pu("1999-01-01"))) | ((tt == "green") & (pu < _pu("1998-01-01")))
+    load_incremental(m.spark, target, m.enriched.where(first), "append")
+    load_incremental(m.spark, target, m.enriched.where(pu >= _pu("1998-01-01")), "append")
+    return read_fact(m.spark, target).select(*FACT_OUT)
+
+
+@register(
+    "incremental_upsert",
+    _inc_sql(
+        "pickup_datetime < timestamp '1999-01-01'",
+        "pickup_datetime >= timestamp '1998-07-01'",
+        f"select {O.FACT_COLS} from f1 where trip_id not in (select trip_id from f2all) "
+        f"union all select {O.FACT_COLS} from f2all",
+    ),
+)
+def q_incremental_upsert(m: TripModel) -> DataFrame:
+    """Delete+insert by trip_id with an overlapping second batch (late rows kept)."""
+    from starlane.operators.incremental import load_incremental, read_fact
+    from starlane.session import scratch_path
+
+    target = scratch_path(m.spark, "fact-upsert")
+    pu = F.col("pickup_datetime")
+    load_incremental(m.spark, target, m.enriched.where(pu < _pu("1999-01-01")), "upsert")
+    load_incremental(m.spark, target, m.enriched.where(pu >= _pu("1998-07-01")), "upsert")
+    return read_fact(m.spark, target).select(*FACT_OUT)
+
+
+@register("full_refresh", W(*O.FACT_CHAIN) + f"select {O.FACT_COLS} from fact")
+def q_full_refresh(m: TripModel) -> DataFrame:
+    """A partial load, then a full refresh that rebuilds from all trips."""
+    from starlane.operators.incremental import load_incremental, read_fact
+    from starlane.session import scratch_path
+
+    target = scratch_path(m.spark, "fact-full")
+    load_incremental(m.spark, target, m.enriched.where(F.col("pickup_datetime") < _pu("1997-01-01")), "full")
+    load_incremental(m.spark, target, m.enriched, "full")
+    return read_fact(m.spark, target).select(*FACT_OUT)
+
+
+# -- files: month selection, manifest, schema drift, samples, lookups ------------
+
+
+@register(
+    "month_files",
+    "with span as (select min(o_orderdate) as lo, max(o_orderdate) as hi from orders), "
+    "months as (select unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), interval 1 month)) as m from span), "
+    "feeds as (select unnest(['yellow', 'green']) as feed) "
+    "select feed, year(m)::integer as year, month(m)::integer as month, "
+    "feed || '_tripdata_' || strftime(m, '%Y-%m') || '.parquet' as file_name from months, feeds",
+)
+def q_month_files(m: TripModel) -> DataFrame:
+    """Expected monthly files of both feeds over the months the orders span."""
+    from starlane.sources.files import expected_files
+    from starlane.sources.tables import read_table
+
+    span = read_table(m.spark, m.sf_dir, "orders").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+    return expected_files(span, F.col("lo"), F.col("hi"), ["yellow", "green"])
+
+
+@register(
+    "file_manifest",
+    W(O.FIXTURE)
+    + ", months as (select unnest(generate_series(date '1995-01-01', date '2001-12-01', interval 1 month)) as m), "
+    "feeds as (select unnest(['yellow', 'green']) as feed), "
+    "present as (select distinct taxi_type as feed, strftime(pickup_datetime, '%Y-%m') as ym from raw "
+    "where pickup_datetime is not null) "
+    "select f.feed, year(m)::integer as year, month(m)::integer as month, "
+    "f.feed || '_tripdata_' || strftime(m, '%Y-%m') || '.parquet' as file_name, "
+    "exists (select 1 from present p where p.feed = f.feed and p.ym = strftime(m, '%Y-%m')) as file_present "
+    "from months, feeds f",
+)
+def q_file_manifest(m: TripModel) -> DataFrame:
+    """Raw trips landed by feed and month, then checked against the expected
+    months 1995-01..2001-12 (sizes vary by writer, so only presence is output)."""
+    from starlane.session import scratch_path
+    from starlane.sources.files import expected_files_between, file_manifest, land_feed
+
+    root = land_feed(m.raw, scratch_path(m.spark, "landing"))
+    expected = expected_files_between(m.spark, "1995-01", "2001-12", ["yellow", "green"])
+    return file_manifest(m.spark, root, expected).select("feed", "year", "month", "file_name", "file_present")
+
+
+RAW_ORDER = [
+    "tpep_pickup_datetime", "tpep_dropoff_datetime", "VendorID", "PULocationID", "DOLocationID", "payment_type",
+    "RatecodeID", "passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount",
+]
+
+
+@register(
+    "sample_slice",
+    W(O.FIXTURE, O.raw_feed("yellow"))
+    + "select * from raw_yellow where tpep_pickup_datetime >= timestamp '1996-03-01' "
+    "and tpep_pickup_datetime < timestamp '1996-04-01' order by "
+    + ", ".join(f"{c} asc nulls last" for c in RAW_ORDER)
+    + " limit 500",
+)
+def q_sample_slice(m: TripModel) -> DataFrame:
+    """First 500 yellow trips of 1996-03 under a total order, written and read back."""
+    from starlane.session import scratch_path
+    from starlane.sources.files import sample_slice
+
+    pu = F.col("tpep_pickup_datetime")
+    month = m.raw_yellow.where((pu >= _pu("1996-03-01")) & (pu < _pu("1996-04-01")))
+    path = scratch_path(m.spark, "sample")
+    sample_slice(month, 500, RAW_ORDER, path)
+    return m.spark.read.parquet(path).select(*m.raw_yellow.columns)
+
+
+@register(
+    "lookup_count",
+    "select count(*) as n_rows from nation join region on n_regionkey = r_regionkey",
+)
+def q_lookup_count(m: TripModel) -> DataFrame:
+    """Data rows of the zone lookup CSV (records, header excluded)."""
+    from starlane.session import scratch_path
+    from starlane.sources.lookups import ZONE_SCHEMA, read_lookup, write_lookup
+
+    path = write_lookup(m.zone_lookup, scratch_path(m.spark, "zone-csv"))
+    return read_lookup(m.spark, path, ZONE_SCHEMA).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("mixed_schema_scan", W(*O.STAGED) + f"select {O.STD_COLUMNS} from stg_yellow")
+def q_mixed_schema(m: TripModel) -> DataFrame:
+    """Yellow trips landed as two files whose types drift (RatecodeID and
+    passenger_count double vs bigint, Airport_fee vs airport_fee), scanned
+    by schema group, then standardised."""
+    from starlane.operators.standardize import YELLOW, standardize
+    from starlane.session import scratch_path
+    from starlane.sources.files import scan_feed
+
+    root = scratch_path(m.spark, "drift")
+    y = m.raw_yellow
+    early = F.year("tpep_pickup_datetime") < 1998
+    (
+        y.where(early)
+        .withColumn("RatecodeID", F.col("RatecodeID").cast("double"))
+        .withColumn("passenger_count", F.col("passenger_count").cast("double"))
+        .withColumn("Airport_fee", F.lit(None).cast("double"))
+        .write.parquet(f"{root}/yellow_a.parquet")
+    )
+    (
+        y.where(~early | early.isNull())
+        .withColumn("RatecodeID", F.col("RatecodeID").cast("bigint"))
+        .withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+        .withColumn("airport_fee", F.lit(None).cast("double"))
+        .write.parquet(f"{root}/yellow_b.parquet")
+    )
+    scanned = scan_feed(m.spark, [f"{root}/yellow_a.parquet", f"{root}/yellow_b.parquet"])
+    return standardize(scanned, YELLOW, m.p.window).select(*STD_OUT)
+
+
+# -- layered tables and mart refresh ----------------------------------------------------
+
+
+def _layers_sql() -> str:
+    return W(*O.MART_CHAIN, O.DIM_TIME) + " union all ".join(
+        f"select '{layer}' as layer, '{name}' as table_name, count(*) as row_count from {cte}"
+        for layer, name, cte in [
+            ("staging", "stg_yellow_trips", "stg_yellow"),
+            ("staging", "stg_green_trips", "stg_green"),
+            ("intermediate", "int_trips_enriched", "enriched"),
+            ("dimensions", "dim_date", "dim_date"),
+            ("dimensions", "dim_time", "dim_time"),
+            ("dimensions", "dim_location", "dim_location"),
+            ("facts", "fct_trips", "fact"),
+            ("marts", "mart_daily_summary", "mart_daily"),
+            ("marts", "mart_hourly_patterns", "mart_hourly"),
+            ("marts", "mart_zone_performance", "mart_zone"),
+        ]
+    )
+
+
+@register("layered_tables", _layers_sql())
+def q_layered_tables(m: TripModel) -> DataFrame:
+    """Views for staging/intermediate, tables for dims, fact and marts, one
+    folder per layer; row counts read back from each."""
+    from starlane.operators.incremental import PARTITION_COLUMN, write_fact
+    from starlane.plans.layers import Layout, register_view
+    from starlane.session import scratch_path
+
+    lay = Layout(scratch_path(m.spark, "layers"))
+    views = {
+        ("staging", "stg_yellow_trips"): m.stg_yellow,
+        ("staging", "stg_green_trips"): m.stg_green,
+        ("intermediate", "int_trips_enriched"): m.enriched,
+    }
+    parts = []
+    for (layer, name), df in views.items():
+        view = register_view(df, layer, name)
+        parts.append(m.spark.table(view).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"))
+    for name, df in [("dim_date", m.dim_date), ("dim_time", m.dim_time), ("dim_location", m.dim_location)]:
+        lay.write(df, "dimensions", name)
+    write_fact(m.fact, lay.path("facts", "fct_trips"))
+    fact = lay.read(m.spark, "facts", "fct_trips").drop(PARTITION_COLUMN)
+    lay.write(m.daily(fact), "marts", "mart_daily_summary")
+    lay.write(m.hourly(fact), "marts", "mart_hourly_patterns")
+    lay.write(m.zone_pairs(fact), "marts", "mart_zone_performance")
+    for layer, name in [
+        ("dimensions", "dim_date"), ("dimensions", "dim_time"), ("dimensions", "dim_location"),
+        ("facts", "fct_trips"), ("marts", "mart_daily_summary"), ("marts", "mart_hourly_patterns"),
+        ("marts", "mart_zone_performance"),
+    ]:
+        parts.append(lay.read(m.spark, layer, name).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("refresh_marts", O.quality_sql())
+def q_refresh_marts(m: TripModel) -> DataFrame:
+    """Marts and the quality report rebuilt from the stored fact only."""
+    from starlane.operators.incremental import write_fact
+    from starlane.plans.layers import Layout
+    from starlane.plans.refresh import refresh_marts
+    from starlane.session import scratch_path
+
+    lay = Layout(scratch_path(m.spark, "refresh"))
+    write_fact(m.fact, lay.path("facts", "fct_trips"))
+    refresh_marts(m, lay)
+    return lay.read(m.spark, "marts", "data_quality_report")

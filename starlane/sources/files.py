@@ -86,8 +86,8 @@ def file_manifest(spark: SparkSession, root: str, expected: DataFrame) -> DataFr
         file_listing(spark, root)
         .select(
             F.regexp_extract("path", r"feed=([^/]+)/", 1).alias("feed"),
-            F.regexp_extract("path", r"month=(\d{4})-\d{2}", 1).cast("int").alias("year"),
-            F.regexp_extract("path", r"month=\d{4}-(\d{2})", 1).cast("int").alias("month"),
+            F.regexp_extract("path", r"month=(\d{4})-\d{2}", 1).try_cast("int").alias("year"),
+            F.regexp_extract("path", r"month=\d{4}-(\d{2})", 1).try_cast("int").alias("month"),
             "length",
         )
         .groupBy("feed", "year", "month")
