@@ -48,7 +48,13 @@ def high_water(spark: SparkSession, path: str, col: str = "pickup_datetime") ->
 
 
 def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", static: bool = True) -> None:
-    w = _partitioned(fact).write.mode(mode).partitionBy(PARTITION_COLUMN)
+    """Write the fact partitioned by pickup month.
+
+    Rows are rebalanced on the month first, so each month is written by a
+    few tasks (few files) instead of every task writing every month; AQE
+    splits a hot month across tasks and merges small ones.
+    """
+    w = _partitioned(fact).hint("rebalance", PARTITION_COLUMN).write.mode(mode).partitionBy(PARTITION_COLUMN)
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", "static" if static else "dynamic")
     w.parquet(path)
