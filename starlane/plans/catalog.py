@@ -710,3 +710,37 @@ def q_refresh_marts(m: TripModel) -> DataFrame:
     write_fact(m.fact, lay.path("facts", "fct_trips"))
     refresh_marts(m, lay)
     return lay.read(m.spark, "marts", "data_quality_report")
+
+
+# -- streaming (optional extension) --------------------------------------------------
+
+
+@register(
+    "stream_dedupe",
+    W(*O.FACT_CHAIN)
+    + "select distinct trip_id, pickup_date_key, pickup_time_key, dropoff_date_key, dropoff_time_key, "
+    "pickup_location_id, dropoff_location_id, taxi_type, vendor_id, passenger_count, trip_distance, "
+    "fare_amount, tip_amount, total_amount, pickup_datetime, dropoff_datetime from fact_ranked",
+)
+def q_stream_dedupe(m: TripModel) -> DataFrame:
+    """Both landed feeds read as streams, keyed and deduplicated within a
+    watermark, written by an availableNow trigger and read back. Only
+    columns fixed by the key are output (which duplicate survives a stream
+    is arrival order)."""
+    from starlane.operators.standardize import GREEN, YELLOW
+    from starlane.session import scratch_path
+    from starlane.streaming.trips_stream import read_feed_stream, run_available_now, trip_keys_stream
+
+    def feed(tag, spec):
+        prefix = "tpep" if tag == "yellow" else "lpep"
+        df = read_feed_stream(m.spark, f"{m.landed}/taxi_type={tag}").withColumnsRenamed(
+            {"pickup_datetime": f"{prefix}_pickup_datetime", "dropoff_datetime": f"{prefix}_dropoff_datetime"}
+        )
+        return df, spec
+
+    base = scratch_path(m.spark, "stream")
+    stream = trip_keys_stream([feed("yellow", YELLOW), feed("green", GREEN)], m.p.window)
+    run_available_now(stream, f"{base}/sink", f"{base}/checkpoint")
+    from starlane.streaming.trips_stream import STREAM_COLUMNS
+
+    return m.spark.read.parquet(f"{base}/sink").select(*STREAM_COLUMNS)
