@@ -14,6 +14,7 @@ __all__ = [
     "round_half_away",
     "round2",
     "elapsed_seconds",
+    "rounded_at_most",
     "int_rounded",
     "ntz",
     "date_key",
@@ -56,8 +57,31 @@ def round2(x: ColumnOrName) -> Column:
 
 
 def elapsed_seconds(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Seconds between two wall-clock timestamps as a double, fractions kept."""
-    return F.timestamp_diff("MICROSECOND", as_col(start), as_col(end)) / F.lit(1e6)
+    """Seconds between two wall-clock timestamps as a double, fractions kept.
+
+    Difference of epoch microseconds; timestamp_ntz values are read in the
+    session zone, which ``configure`` pins to UTC, so DST never shifts it.
+    """
+    micros = F.unix_micros(as_col(end).cast("timestamp")) - F.unix_micros(as_col(start).cast("timestamp"))
+    return micros / F.lit(1e6)
+
+
+def rounded_at_most(x: ColumnOrName, bound: float, digits: int = 2) -> Column:
+    """``round_half_away(x, digits) <= bound`` for x >= 0, without the rounding.
+
+    Rounding gives k / 10^digits with k = floor(x * 10^digits + 0.5), so
+    the test is x * 10^digits + 0.5 < K + 1, K the largest k whose quotient
+    is still <= bound. Same floating-point steps as ``round_half_away``, so
+    it is exact, but the predicate stays small when Catalyst pushes it
+    below the projection that computes x.
+    """
+    import math
+
+    scale = float(10**digits)
+    k = math.floor(bound * scale) + 1
+    while k / scale > bound:
+        k -= 1
+    return as_col(x) * F.lit(scale) + F.lit(0.5) < F.lit(float(k + 1))
 
 
 def int_rounded(x: ColumnOrName, source_type: T.DataType | None) -> Column:

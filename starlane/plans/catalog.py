@@ -85,7 +85,7 @@ def q_guarded_ratios(m: TripModel) -> DataFrame:
     W(*O.CHAIN) + f"select {ENRICHED_COLS_SQL} from enriched_d",
 )
 def q_duration_filter(m: TripModel) -> DataFrame:
-    return add_measures(filter_duration(with_seconds(m.trips_union))).select(*ENRICHED_OUT)
+    return add_measures(with_seconds(filter_duration(m.trips_union))).select(*ENRICHED_OUT)
 
 
 @register(
@@ -95,7 +95,7 @@ def q_duration_filter(m: TripModel) -> DataFrame:
     "where avg_speed_mph is null or avg_speed_mph <= 100",
 )
 def q_speed_cap(m: TripModel) -> DataFrame:
-    return filter_speed(add_measures(with_seconds(m.trips_union))).select(*ENRICHED_OUT)
+    return add_measures(filter_speed(with_seconds(m.trips_union))).select(*ENRICHED_OUT)
 
 
 # -- key, dedupe, fact -------------------------------------------------------
