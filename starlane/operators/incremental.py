@@ -38,12 +38,18 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 def high_water(spark: SparkSession, path: str, col: str = "pickup_datetime") -> datetime:
     """max(col) of the stored fact, or 1900-01-01 for an empty/missing one.
 
-    One scalar aggregate reaches the driver; it then filters the batch as a
+    The newest pickup month is found first (a partition value: no column
+    data is read), then only that month's files are scanned for the
+    maximum. One scalar reaches the driver and filters the next batch as a
     literal, so the comparison is pushed into the Parquet scan.
     """
     if not table_exists(spark, path):
         return DEFAULT_HIGH_WATER
-    value = spark.read.parquet(path).agg(F.max(col)).first()[0]
+    stored = spark.read.parquet(path)
+    last_month = stored.agg(F.max(PARTITION_COLUMN)).first()[0]
+    if last_month is None:
+        return DEFAULT_HIGH_WATER
+    value = stored.where(F.col(PARTITION_COLUMN) == last_month).agg(F.max(col)).first()[0]
     return value if value is not None else DEFAULT_HIGH_WATER
 
 

@@ -314,12 +314,21 @@ def _dim_lookup_sql() -> str:
 
 @register("dim_lookup", _dim_lookup_sql())
 def q_dim_lookup(m: TripModel) -> DataFrame:
-    """Rate-code and payment-type dimensions with their fact usage."""
-    rc = _with_usage(m.dim_rate_code, "rate_code_id", m.fact, "rate_code_id").select(
+    """Rate-code and payment-type dimensions with their fact usage; both
+    seeds go through the CSV reader (written quoted, read with a schema)."""
+    from starlane.session import scratch_path
+    from starlane.sources.lookups import (
+        PAYMENT_TYPE_SCHEMA, RATE_CODE_SCHEMA, payment_types, rate_codes, read_lookup, write_lookup,
+    )
+
+    root = scratch_path(m.spark, "seeds")
+    rc_seed = read_lookup(m.spark, write_lookup(rate_codes(m.spark), f"{root}/rate_codes"), RATE_CODE_SCHEMA)
+    pt_seed = read_lookup(m.spark, write_lookup(payment_types(m.spark), f"{root}/payment_types"), PAYMENT_TYPE_SCHEMA)
+    rc = _with_usage(dims.dim_rate_code(rc_seed), "rate_code_id", m.fact, "rate_code_id").select(
         F.lit("rate_code").alias("lookup"), F.col("rate_code_id").alias("id"), F.col("rate_code_name").alias("name"),
         "trips",
     )
-    pt = _with_usage(m.dim_payment_type, "payment_type_id", m.fact, "payment_type_id").select(
+    pt = _with_usage(dims.dim_payment_type(pt_seed), "payment_type_id", m.fact, "payment_type_id").select(
         F.lit("payment_type").alias("lookup"), F.col("payment_type_id").alias("id"),
         F.col("payment_name").alias("name"), "trips",
     )

@@ -153,3 +153,19 @@ def test_dedupe_is_partition_independent(spark):
     b = {tuple(r) for r in dedupe(df.repartition(13), ["k"], ["v"]).collect()}
     want = {(k, min(i * 7919 % 1000 for i in range(2000) if i % 37 == k)) for k in range(37)}
     assert a == b == want
+
+
+def test_hot_key_dedupe_plan_and_result(spark):
+    """A third of all rows share one key: result stays exact and the plan
+    limits each map task to one row per key before the shuffle."""
+    n = 3000
+    df = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        (F.col("id") * 7919 % 100003).alias("v"),
+    )
+    out = dedupe(df.repartition(8), ["k"], ["v"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2  # partial (map side) + final
+    rows = {r.k: r.v for r in out.collect()}
+    assert len(rows) == 1 + 2 * n // 3
+    assert rows[-1] == min(i * 7919 % 100003 for i in range(0, n, 3))
