@@ -434,10 +434,6 @@ def q_quality(m: TripModel) -> DataFrame:
 # -- incremental loads (each writes a fact under the checkpoint root) -------------
 
 
-def _enriched_where(m: TripModel, cond) -> DataFrame:
-    return m.enriched.where(cond)
-
-
 def _pu(ts: str):
     from starlane.functions.scalars import ntz
 
