@@ -1,10 +1,12 @@
 """Aggregated marts over the trip fact (C13-C15) and events (A6 on events).
 
-Each mart is fact -> broadcast dimension joins -> partial HashAggregate ->
-one shuffle of partials -> final aggregate. Sums and averages of 2-decimal
-measures are exact (whole hundredths as longs), so results do not depend
-on partitioning or addition order; a hot borough or route is absorbed by
-the map-side partial aggregate.
+Each mart aggregates the fact first, by its integer keys only, into exact
+mergeable partials (whole hundredths as longs plus counts): map-side
+partial aggregation, one shuffle of group partials. The dimensions are
+then broadcast-joined to those few partials, not to every fact row, and
+partials that land on the same final key (e.g. all unmatched zones under a
+NULL borough) are merged. Results do not depend on partitioning or
+addition order; a hot borough or route is absorbed map-side.
 """
 
 from __future__ import annotations
@@ -12,48 +14,96 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlane.functions.scalars import day_of_week0, exact_avg, exact_sum, hour_of_key, round2, time_key
+from starlane.functions.scalars import cents, day_of_week0, exact_avg, exact_sum, hour_of_key, round2, time_key
 from starlane.operators.joins import broadcast_bounded, broadcast_checked
 
 
-def _sum2(c: str) -> Column:
-    return round2(exact_sum(c))
+# A mart measure: (output name, "sum" | "avg", fact column).
+Measure = tuple[str, str, str]
 
 
-def _avg2(c: str) -> Column:
-    return round2(exact_avg(c))
+def _partials(fact: DataFrame, keys: list, measures: list[Measure]) -> DataFrame:
+    """Phase 1, on the fact: group by integer keys into mergeable exact
+    partials (trip count, passenger sum, hundredths sum and non-null count
+    per measured column). Map-side partial aggregation makes this one
+    shuffle of group partials; no dimension is touched yet."""
+    cols = sorted({c for _, _, c in measures})
+    aggs = [F.count(F.lit(1)).alias("_n"), F.sum("passenger_count").cast("long").alias("_pax")]
+    for c in cols:
+        aggs += [F.sum(cents(c)).alias(f"_s_{c}"), F.count(c).alias(f"_c_{c}")]
+    return fact.groupBy(*keys).agg(*aggs)
 
 
-def _trips() -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("total_trips"),
-        F.sum("passenger_count").cast("long").alias("total_passengers"),
-    ]
-
-
-def _locations(dim_location: DataFrame, checked: bool = True) -> DataFrame:
-    return broadcast_checked(dim_location) if checked else dim_location
+def _finish(partials: DataFrame, keys: list, measures: list[Measure]) -> DataFrame:
+    """Phase 2, on the small partials: merge per final key and round."""
+    cols = sorted({c for _, _, c in measures})
+    merged = partials.groupBy(*keys).agg(
+        F.sum("_n").alias("total_trips"),
+        F.sum("_pax").alias("total_passengers"),
+        *[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in cols],
+        *[F.sum(f"_c_{c}").alias(f"_c_{c}") for c in cols],
+    )
+    out = []
+    for name, kind, c in measures:
+        total = F.col(f"_s_{c}") / F.lit(100.0)
+        if kind == "sum":
+            out.append(round2(total).alias(name))
+        else:
+            n = F.col(f"_c_{c}")
+            out.append(round2(F.when(n > 0, total / n)).alias(name))
+    key_names = [k if isinstance(k, str) else k._jc.toString() for k in keys]
+    return merged.select(*key_names, "total_trips", "total_passengers", *out)
+
+
+def _locations(dim_location: DataFrame) -> DataFrame:
+    return broadcast_checked(dim_location)
+
+
+DAILY_MEASURES: list[Measure] = [
+    ("total_distance_miles", "sum", "trip_distance"),
+    ("avg_distance_miles", "avg", "trip_distance"),
+    ("total_duration_minutes", "sum", "trip_duration_minutes"),
+    ("avg_duration_minutes", "avg", "trip_duration_minutes"),
+    ("total_fare_amount", "sum", "fare_amount"),
+    ("total_tip_amount", "sum", "tip_amount"),
+    ("total_revenue", "sum", "total_amount"),
+    ("avg_fare_amount", "avg", "fare_amount"),
+    ("avg_tip_amount", "avg", "tip_amount"),
+    ("avg_tip_percentage", "avg", "tip_percentage"),
+    ("avg_speed_mph", "avg", "avg_speed_mph"),
+    ("avg_fare_per_mile", "avg", "fare_per_mile"),
+]
+
+HOURLY_MEASURES: list[Measure] = [
+    ("total_revenue", "sum", "total_amount"),
+    ("avg_fare_amount", "avg", "fare_amount"),
+    ("avg_distance_miles", "avg", "trip_distance"),
+    ("avg_duration_minutes", "avg", "trip_duration_minutes"),
+    ("avg_speed_mph", "avg", "avg_speed_mph"),
+]
+
+ZONE_MEASURES: list[Measure] = [
+    ("total_distance_miles", "sum", "trip_distance"),
+    ("avg_distance_miles", "avg", "trip_distance"),
+    ("avg_duration_minutes", "avg", "trip_duration_minutes"),
+    ("total_revenue", "sum", "total_amount"),
+    ("avg_fare_amount", "avg", "fare_amount"),
+    ("avg_tip_percentage", "avg", "tip_percentage"),
+    ("avg_speed_mph", "avg", "avg_speed_mph"),
+    ("avg_fare_per_mile", "avg", "fare_per_mile"),
+]
 
 
 def mart_daily(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """Per (pickup date, pickup borough, feed): 14 measures. Borough NULL for unmatched zones."""
+    """Per (pickup date, pickup borough, feed): 14 measures. Borough NULL for unmatched zones.
+
+    Aggregated by (date, location id, feed) first; the borough comes from
+    the location dimension joined to those partials, then partials of the
+    same borough are merged.
+    """
+    part = _partials(fact, ["pickup_date_key", "pickup_location_id", "taxi_type"], DAILY_MEASURES)
     loc = _locations(dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough"))
-    joined = fact.join(loc, "pickup_location_id", "left")
-    return joined.groupBy("pickup_date_key", "borough", "taxi_type").agg(
-        *_trips(),
-        _sum2("trip_distance").alias("total_distance_miles"),
-        _avg2("trip_distance").alias("avg_distance_miles"),
-        _sum2("trip_duration_minutes").alias("total_duration_minutes"),
-        _avg2("trip_duration_minutes").alias("avg_duration_minutes"),
-        _sum2("fare_amount").alias("total_fare_amount"),
-        _sum2("tip_amount").alias("total_tip_amount"),
-        _sum2("total_amount").alias("total_revenue"),
-        _avg2("fare_amount").alias("avg_fare_amount"),
-        _avg2("tip_amount").alias("avg_tip_amount"),
-        _avg2("tip_percentage").alias("avg_tip_percentage"),
-        _avg2("avg_speed_mph").alias("avg_speed_mph"),
-        _avg2("fare_per_mile").alias("avg_fare_per_mile"),
-    )
+    return _finish(part.join(loc, "pickup_location_id", "left"), ["pickup_date_key", "borough", "taxi_type"], DAILY_MEASURES)
 
 
 def mart_hourly(
@@ -66,28 +116,27 @@ def mart_hourly(
 
     The date join is inner: trips outside the date dimension are dropped.
     """
+    part = _partials(
+        fact.withColumn("hour_of_day", hour_of_key("pickup_time_key")),
+        ["pickup_date_key", "hour_of_day", "pickup_location_id"],
+        HOURLY_MEASURES,
+    )
     dates = dim_date.select(F.col("date_key").alias("pickup_date_key"), "day_of_week", "day_name")
     dates = broadcast_bounded(dates, dim_date_max_rows) if dim_date_max_rows is not None else broadcast_checked(dates)
     loc = _locations(dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough"))
-    joined = fact.join(dates, "pickup_date_key", "inner").join(loc, "pickup_location_id", "left")
-    return joined.groupBy(
-        "day_of_week", "day_name", hour_of_key("pickup_time_key").alias("hour_of_day"), "borough"
-    ).agg(
-        *_trips(),
-        _sum2("total_amount").alias("total_revenue"),
-        _avg2("fare_amount").alias("avg_fare_amount"),
-        _avg2("trip_distance").alias("avg_distance_miles"),
-        _avg2("trip_duration_minutes").alias("avg_duration_minutes"),
-        _avg2("avg_speed_mph").alias("avg_speed_mph"),
-    )
+    joined = part.join(dates, "pickup_date_key", "inner").join(loc, "pickup_location_id", "left")
+    return _finish(joined, ["day_of_week", "day_name", "hour_of_day", "borough"], HOURLY_MEASURES)
 
 
 def mart_zone_pairs(fact: DataFrame, dim_location: DataFrame, min_trips: int = 10) -> DataFrame:
     """Per (pickup zone, dropoff zone) route with at least ``min_trips`` trips.
 
     The location dimension plays two roles; ids come from the dimension, so
-    unmatched zones group under NULL.
+    unmatched zones group under NULL. Trips are first aggregated by the
+    fact's two integer ids (a shuffle of int keys, at most ids² groups);
+    names are joined to those partials.
     """
+    part = _partials(fact, ["pickup_location_id", "dropoff_location_id"], ZONE_MEASURES)
     loc = _locations(dim_location.select("location_id", "zone_name", "borough"))
     pl = loc.select(
         F.col("location_id").alias("_pl_id"),
@@ -99,28 +148,17 @@ def mart_zone_pairs(fact: DataFrame, dim_location: DataFrame, min_trips: int = 1
         F.col("zone_name").alias("dropoff_zone_name"),
         F.col("borough").alias("dropoff_borough"),
     )
-    joined = fact.join(pl, fact["pickup_location_id"] == pl["_pl_id"], "left").join(
-        dl, fact["dropoff_location_id"] == dl["_dl_id"], "left"
+    joined = (
+        part.join(pl, part["pickup_location_id"] == pl["_pl_id"], "left")
+        .join(dl, part["dropoff_location_id"] == dl["_dl_id"], "left")
+        .drop("pickup_location_id", "dropoff_location_id")
+        .withColumnsRenamed({"_pl_id": "pickup_location_id", "_dl_id": "dropoff_location_id"})
     )
-    agg = joined.groupBy(
-        F.col("_pl_id").alias("pickup_location_id"),
-        "pickup_zone_name",
-        "pickup_borough",
-        F.col("_dl_id").alias("dropoff_location_id"),
-        "dropoff_zone_name",
-        "dropoff_borough",
-    ).agg(
-        *_trips(),
-        _sum2("trip_distance").alias("total_distance_miles"),
-        _avg2("trip_distance").alias("avg_distance_miles"),
-        _avg2("trip_duration_minutes").alias("avg_duration_minutes"),
-        _sum2("total_amount").alias("total_revenue"),
-        _avg2("fare_amount").alias("avg_fare_amount"),
-        _avg2("tip_percentage").alias("avg_tip_percentage"),
-        _avg2("avg_speed_mph").alias("avg_speed_mph"),
-        _avg2("fare_per_mile").alias("avg_fare_per_mile"),
-    )
-    return agg.where(F.col("total_trips") >= min_trips)
+    keys = [
+        "pickup_location_id", "pickup_zone_name", "pickup_borough",
+        "dropoff_location_id", "dropoff_zone_name", "dropoff_borough",
+    ]
+    return _finish(joined, keys, ZONE_MEASURES).where(F.col("total_trips") >= min_trips)
 
 
 def mart_hourly_events(events: DataFrame) -> DataFrame:
