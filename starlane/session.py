@@ -56,6 +56,23 @@ def build_session(
     return spark
 
 
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    Scan splits and post-shuffle partitions aim at ``target_partition_bytes``
+    so each task's working set fits executor memory without spilling; the
+    shuffle starts with enough partitions for the largest stage (at least 3
+    waves of tasks) and AQE coalesces the small ones.
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -84,3 +84,13 @@ def test_exact_sum_and_avg_are_order_free(spark):
     assert abs(row.a - row.s / 4) < 1e-12
     empty = spark.createDataFrame([(None,)], "x double").agg(exact_avg("x")).first()[0]
     assert empty is None
+
+
+def test_sizing_conf_scales_with_input():
+    from starlane.session import sizing_conf
+
+    small = sizing_conf(10 * 2**20, 8)
+    big = sizing_conf(100 * 2**40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 2**20)
