@@ -138,14 +138,25 @@ def surrogate_key(
     cols: Iterable[ColumnOrName],
     null_token: str = SURROGATE_NULL_TOKEN,
     sep: str = "-",
+    canonical_doubles: Iterable[str] = (),
 ) -> Column:
     """md5 hex of the parts' text joined by ``sep``; NULL parts become a token.
 
-    Doubles render as Spark text, which equals the reference's only for
-    1e-3 <= |x| < 1e7; timestamps render identically.
+    Doubles render as Spark text, which equals the reference engine's text
+    for 1e-3 <= |x| < 1e7 (and 0); timestamps render identically. Columns
+    named in ``canonical_doubles`` are hashed as ``decimal(18,2)`` text
+    instead, which is engine-independent at any magnitude (for money and
+    distance columns with at most 2 decimals).
     """
-    parts = [F.coalesce(as_col(c).cast("string"), F.lit(null_token)) for c in cols]
-    return F.md5(F.concat_ws(sep, *parts))
+    canonical = set(canonical_doubles)
+
+    def text(c: ColumnOrName) -> Column:
+        col = as_col(c)
+        if isinstance(c, str) and c in canonical:
+            col = col.cast("decimal(18,2)")
+        return F.coalesce(col.cast("string"), F.lit(null_token))
+
+    return F.md5(F.concat_ws(sep, *[text(c) for c in cols]))
 
 
 def cents(x: ColumnOrName) -> Column:

@@ -94,3 +94,13 @@ def test_sizing_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 24
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 2**20)
+
+
+def test_surrogate_key_canonical_doubles(spark):
+    import hashlib
+
+    df = spark.createDataFrame([(12345678.5, 0.0005)], "a double, b double")
+    plain = df.select(surrogate_key(["a", "b"])).first()[0]
+    canon = df.select(surrogate_key(["a", "b"], canonical_doubles=["a", "b"])).first()[0]
+    assert plain == hashlib.md5(b"1.23456785E7-5.0E-4").hexdigest()
+    assert canon == hashlib.md5(b"12345678.50-0.00").hexdigest()
