@@ -109,12 +109,24 @@ def land_trip_feeds(spark: SparkSession, sf_dir: str, root: str | None = None) -
     from starlane.session import scratch_path
 
     target = root or scratch_path(spark, "landed-trips")
-    trip_feed(spark, sf_dir).write.mode("overwrite").partitionBy("taxi_type").parquet(target)
+    land_raw(trip_feed(spark, sf_dir), target)
     if root is None:
         _LANDED[memo] = target
     return target
 
 
+def land_raw(raw: DataFrame, target: str) -> str:
+    """Write raw trips as Parquet partitioned by feed, spread over at least
+    one file per core so later scans run on every core.
+
+    The driver tables are single row groups, so their scan is one task; the
+    landing is where the layout for everything downstream is chosen.
+    """
+    parts = max(raw.sparkSession.sparkContext.defaultParallelism, 1)
+    raw.repartition(parts).write.mode("overwrite").partitionBy("taxi_type").parquet(target)
+    return target
+
+
 def landed_feed(spark: SparkSession, root: str, taxi_type: str) -> DataFrame:
     """One landed feed with its native timestamp names (a Parquet folder scan)."""
     prefix = "tpep" if taxi_type == "yellow" else "lpep"
