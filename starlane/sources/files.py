@@ -127,12 +127,17 @@ def scan_feed(spark: SparkSession, paths: Sequence[str], target: T.StructType |
     bigint in another, and so does ``mergeSchema``. So files are grouped by
     their schema (footer metadata only), each group is read in one scan and
     cast to ``target`` (default: the widest type per column across
-    groups), and the groups are unioned by name, case-insensitively.
+    groups), and the groups are unioned by name, case-insensitively. The
+    plan has one scan per distinct schema, not per file.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    # Footer reads are metadata only; many files are read concurrently.
+    with ThreadPoolExecutor(max_workers=min(16, max(1, len(paths)))) as pool:
+        found = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
     groups: dict[tuple, list[str]] = {}
     schemas: dict[tuple, T.StructType] = {}
-    for p in paths:
-        s = spark.read.parquet(p).schema
+    for p, s in zip(paths, found):
         key = _shape(s)
         groups.setdefault(key, []).append(p)
         schemas[key] = s
