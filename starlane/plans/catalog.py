@@ -750,3 +750,73 @@ def q_stream_dedupe(m: TripModel) -> DataFrame:
     from starlane.streaming.trips_stream import STREAM_COLUMNS
 
     return m.spark.read.parquet(f"{base}/sink").select(*STREAM_COLUMNS)
+
+
+# -- the reference's 75 data tests over all layers ------------------------------------
+
+
+def _reference_tests_sql() -> str:
+    from starlane.plans import model_tests as T
+    from starlane.sources.lookups import PAYMENT_TYPES, RATE_CODES
+
+    cte_of = {
+        "stg_yellow_trips": "stg_yellow", "stg_green_trips": "stg_green", "stg_taxi_zones": "stg_zones",
+        "int_trips_union": "trips_union", "int_trips_enriched": "enriched", "dim_date": "dim_date",
+        "dim_time": "dim_time", "dim_location": "dim_location", "dim_rate_code": "dim_rate_code",
+        "dim_payment_type": "dim_payment_type", "fct_trips": "fact", "mart_daily_summary": "mart_daily",
+        "mart_hourly_patterns": "mart_hourly", "mart_zone_performance": "mart_zone",
+    }
+    parts = []
+    for model, cols in T.NOT_NULL.items():
+        for c in cols:
+            parts.append(f"select '{model}' as model, 'not_null' as test_name, '{c}' as column_name, "
+                         f"count(*) filter (where {c} is null) as failures from {cte_of[model]}")
+    for model, (c, values) in T.ACCEPTED.items():
+        vals = ", ".join(f"'{v}'" for v in values)
+        parts.append(f"select '{model}', 'accepted_values', '{c}', count(*) filter (where {c} is not null and {c} not in ({vals})) from {cte_of[model]}")
+    for model, (c, lo, hi) in T.RANGES.items():
+        parts.append(f"select '{model}', 'accepted_range', '{c}', count(*) filter (where {c} is not null and not ({c} between {lo} and {hi})) from {cte_of[model]}")
+    for c, (dim, key) in T.RELATIONSHIPS.items():
+        parts.append(f"select 'fct_trips', 'relationships', '{c}', count(*) filter (where {c} is not null and not exists "
+                     f"(select 1 from {cte_of[dim]} d where d.{key} = f.{c})) from fact f")
+    for model, c in T.UNIQUE.items():
+        parts.append(f"select '{model}', 'unique', '{c}', (select count(*) from (select {c} from {cte_of[model]} "
+                     f"where {c} is not null group by {c} having count(*) > 1) x)")
+    ctes = W(
+        *O.MART_CHAIN, O.DIM_TIME,
+        "stg_zones as (select n_nationkey + 1 as location_id, r_name as borough, n_name as zone_name, "
+        "'Zone ' || r_regionkey as service_zone from nation join region on n_regionkey = r_regionkey)",
+        f"dim_rate_code as (select * from (values {_values(RATE_CODES)}) t(rate_code_id, rate_code_name, description))",
+        f"dim_payment_type as (select * from (values {_values(PAYMENT_TYPES)}) t(payment_type_id, payment_name, is_cash))",
+        "t as (" + " union all ".join(parts) + ")",
+    )
+    return ctes + "select model, test_name, column_name, failures, case when failures > 0 then 'fail' else 'pass' end as status from t"
+
+
+@register("reference_tests", _reference_tests_sql())
+def q_reference_tests(m: TripModel) -> DataFrame:
+    """All 75 data tests: dims, fact and marts written to their layers and
+    read back, staging and intermediate as lazy views."""
+    from starlane.operators.incremental import PARTITION_COLUMN, write_fact
+    from starlane.plans.layers import Layout
+    from starlane.plans.model_tests import reference_tests
+    from starlane.session import scratch_path
+
+    lay = Layout(scratch_path(m.spark, "tested-layers"))
+    for name, df in [("dim_date", m.dim_date), ("dim_time", m.dim_time), ("dim_location", m.dim_location),
+                     ("dim_rate_code", m.dim_rate_code), ("dim_payment_type", m.dim_payment_type)]:
+        lay.write(df, "dimensions", name)
+    write_fact(m.fact, lay.path("facts", "fct_trips"))
+    fact = lay.read(m.spark, "facts", "fct_trips").drop(PARTITION_COLUMN)
+    lay.write(m.daily(fact), "marts", "mart_daily_summary")
+    lay.write(m.hourly(fact), "marts", "mart_hourly_patterns")
+    lay.write(m.zone_pairs(fact), "marts", "mart_zone_performance")
+    tables = {
+        "stg_yellow_trips": m.stg_yellow, "stg_green_trips": m.stg_green, "stg_taxi_zones": m.stg_zones,
+        "int_trips_union": m.trips_union, "int_trips_enriched": m.enriched, "fct_trips": fact,
+    }
+    for layer, names in [("dimensions", ["dim_date", "dim_time", "dim_location", "dim_rate_code", "dim_payment_type"]),
+                         ("marts", ["mart_daily_summary", "mart_hourly_patterns", "mart_zone_performance"])]:
+        for n in names:
+            tables[n] = lay.read(m.spark, layer, n)
+    return reference_tests(tables)
