@@ -85,3 +85,19 @@ def test_sample_slice_and_lookup_csv(spark, tmp_dir):
     assert text.startswith('"LocationID","Borough","Zone","service_zone"\r\n')
     assert lookup_count(spark, path, ZONE_SCHEMA) == 2
     assert read_lookup(spark, path, ZONE_SCHEMA).where("Zone = 'N/A'").count() == 1  # "N/A" stays text
+
+
+def test_manifest_summary(spark, tmp_dir):
+    from starlane.sources.files import manifest_summary
+
+    df = spark.createDataFrame(
+        [("yellow", datetime(2024, 10, 3)), ("yellow", datetime(2024, 12, 3)), ("green", datetime(2024, 11, 3))],
+        "taxi_type string, pickup_datetime timestamp_ntz")
+    root = land_feed(df, f"{tmp_dir}/landing")
+    expected = expected_files_between(spark, "2024-10", "2024-11", ["yellow", "green"])
+    manifest = file_manifest(spark, root, expected)
+    row = manifest_summary(manifest).first()
+    assert (row.files_present, row.files_missing) == (2, 2)
+    assert row.date_range == "2024-10 to 2024-11" and row.taxi_types == "green, yellow"
+    n_bytes = manifest.agg({"bytes": "sum"}).first()[0]
+    assert n_bytes > 0 and row.total_size_mb == round(n_bytes / 2**20, 2)
