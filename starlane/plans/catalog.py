@@ -8,7 +8,6 @@ writes to the checkpoint folder) end to end, over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
