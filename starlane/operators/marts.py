@@ -55,8 +55,10 @@ def _finish(partials: DataFrame, keys: list, measures: list[Measure]) -> DataFra
     return merged.select(*key_names, "total_trips", "total_passengers", *out)
 
 
-def _locations(dim_location: DataFrame) -> DataFrame:
-    return broadcast_checked(dim_location)
+def _locations(dim_location: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Broadcast the location dimension: by a known row bound when the
+    caller has one, else after a size check."""
+    return broadcast_bounded(dim_location, max_rows) if max_rows is not None else broadcast_checked(dim_location)
 
 
 DAILY_MEASURES: list[Measure] = [
@@ -94,7 +96,7 @@ ZONE_MEASURES: list[Measure] = [
 ]
 
 
-def mart_daily(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
+def mart_daily(fact: DataFrame, dim_location: DataFrame, location_max_rows: int | None = None) -> DataFrame:
     """Per (pickup date, pickup borough, feed): 14 measures. Borough NULL for unmatched zones.
 
     Aggregated by (date, location id, feed) first; the borough comes from
@@ -102,7 +104,7 @@ def mart_daily(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
     same borough are merged.
     """
     part = _partials(fact, ["pickup_date_key", "pickup_location_id", "taxi_type"], DAILY_MEASURES)
-    loc = _locations(dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough"))
+    loc = _locations(dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough"), location_max_rows)
     return _finish(part.join(loc, "pickup_location_id", "left"), ["pickup_date_key", "borough", "taxi_type"], DAILY_MEASURES)
 
 
@@ -111,6 +113,7 @@ def mart_hourly(
     dim_date: DataFrame,
     dim_location: DataFrame,
     dim_date_max_rows: int | None = None,
+    location_max_rows: int | None = None,
 ) -> DataFrame:
     """Per (weekday, day name, hour, borough), all weeks pooled.
 
@@ -123,12 +126,14 @@ def mart_hourly(
     )
     dates = dim_date.select(F.col("date_key").alias("pickup_date_key"), "day_of_week", "day_name")
     dates = broadcast_bounded(dates, dim_date_max_rows) if dim_date_max_rows is not None else broadcast_checked(dates)
-    loc = _locations(dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough"))
+    loc = _locations(dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough"), location_max_rows)
     joined = part.join(dates, "pickup_date_key", "inner").join(loc, "pickup_location_id", "left")
     return _finish(joined, ["day_of_week", "day_name", "hour_of_day", "borough"], HOURLY_MEASURES)
 
 
-def mart_zone_pairs(fact: DataFrame, dim_location: DataFrame, min_trips: int = 10) -> DataFrame:
+def mart_zone_pairs(
+    fact: DataFrame, dim_location: DataFrame, min_trips: int = 10, location_max_rows: int | None = None
+) -> DataFrame:
     """Per (pickup zone, dropoff zone) route with at least ``min_trips`` trips.
 
     The location dimension plays two roles; ids come from the dimension, so
@@ -137,7 +142,7 @@ def mart_zone_pairs(fact: DataFrame, dim_location: DataFrame, min_trips: int = 1
     names are joined to those partials.
     """
     part = _partials(fact, ["pickup_location_id", "dropoff_location_id"], ZONE_MEASURES)
-    loc = _locations(dim_location.select("location_id", "zone_name", "borough"))
+    loc = _locations(dim_location.select("location_id", "zone_name", "borough"), location_max_rows)
     pl = loc.select(
         F.col("location_id").alias("_pl_id"),
         F.col("zone_name").alias("pickup_zone_name"),

@@ -103,6 +103,12 @@ class TripModel:
     def dim_location(self) -> DataFrame:
         return dims.dim_location(self.stg_zones)
 
+    @cached_property
+    def dim_location_rows(self) -> int:
+        """Row count of the location dimension, counted once per model; the
+        marts then broadcast it by this bound without re-checking."""
+        return self.dim_location.count()
+
     @cached_property
     def dim_date(self) -> DataFrame:
         return dims.dim_date(self.spark, self.p.dim_date_start, self.p.dim_date_end_exclusive)
@@ -125,15 +131,18 @@ class TripModel:
 
     # -- marts -----------------------------------------------------------
     def daily(self, fact: DataFrame | None = None) -> DataFrame:
-        return marts.mart_daily(self.fact if fact is None else fact, self.dim_location)
+        return marts.mart_daily(self.fact if fact is None else fact, self.dim_location, self.dim_location_rows)
 
     def hourly(self, fact: DataFrame | None = None) -> DataFrame:
         return marts.mart_hourly(
-            self.fact if fact is None else fact, self.dim_date, self.dim_location, self.dim_date_rows
+            self.fact if fact is None else fact, self.dim_date, self.dim_location, self.dim_date_rows,
+            self.dim_location_rows,
         )
 
     def zone_pairs(self, fact: DataFrame | None = None) -> DataFrame:
-        return marts.mart_zone_pairs(self.fact if fact is None else fact, self.dim_location, self.p.min_route_trips)
+        return marts.mart_zone_pairs(
+            self.fact if fact is None else fact, self.dim_location, self.p.min_route_trips, self.dim_location_rows
+        )
 
     def quality(self, fact: DataFrame | None = None) -> DataFrame:
         return checks.quality_report(self.daily(fact), self.hourly(fact), self.zone_pairs(fact))
