@@ -1,12 +1,15 @@
 """Aggregated marts over the trip fact (C13-C15) and events (A6 on events).
 
-Each mart aggregates the fact first, by its integer keys only, into exact
-mergeable partials (whole hundredths as longs plus counts): map-side
-partial aggregation, one shuffle of group partials. The dimensions are
-then broadcast-joined to those few partials, not to every fact row, and
-partials that land on the same final key (e.g. all unmatched zones under a
-NULL borough) are merged. Results do not depend on partitioning or
-addition order; a hot borough or route is absorbed map-side.
+Measures are exact: whole hundredths summed as longs plus non-null counts,
+so results do not depend on partitioning or addition order, and a hot
+borough or route is absorbed by the map-side partial aggregate.
+
+Where to join the dimensions depends on cardinality. The daily and hourly
+marts group by borough (few) rather than zone (many), so every fact row
+probes the tiny broadcast dimension and the partial aggregate is as small
+as the final result. The zone-pair mart's dimension attributes are 1:1
+with the fact's two integer ids, so it aggregates the fact on those ids
+first (int keys in the shuffle) and joins names to the partials only.
 """
 
 from __future__ import annotations
@@ -34,15 +37,19 @@ def _partials(fact: DataFrame, keys: list, measures: list[Measure]) -> DataFrame
     return fact.groupBy(*keys).agg(*aggs)
 
 
-def _finish(partials: DataFrame, keys: list, measures: list[Measure]) -> DataFrame:
-    """Phase 2, on the small partials: merge per final key and round."""
+def _merge(partials: DataFrame, keys: list, measures: list[Measure]) -> DataFrame:
+    """Merge partials that share a final key (e.g. all unmatched zones)."""
     cols = sorted({c for _, _, c in measures})
-    merged = partials.groupBy(*keys).agg(
-        F.sum("_n").alias("total_trips"),
-        F.sum("_pax").alias("total_passengers"),
+    return partials.groupBy(*keys).agg(
+        F.sum("_n").alias("_n"),
+        F.sum("_pax").alias("_pax"),
         *[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in cols],
         *[F.sum(f"_c_{c}").alias(f"_c_{c}") for c in cols],
     )
+
+
+def _output(merged: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
+    """Final columns from one row of sums per key: rounded sums and averages."""
     out = []
     for name, kind, c in measures:
         total = F.col(f"_s_{c}") / F.lit(100.0)
@@ -51,8 +58,7 @@ def _finish(partials: DataFrame, keys: list, measures: list[Measure]) -> DataFra
         else:
             n = F.col(f"_c_{c}")
             out.append(round2(F.when(n > 0, total / n)).alias(name))
-    key_names = [k if isinstance(k, str) else k._jc.toString() for k in keys]
-    return merged.select(*key_names, "total_trips", "total_passengers", *out)
+    return merged.select(*keys, F.col("_n").alias("total_trips"), F.col("_pax").alias("total_passengers"), *out)
 
 
 def _locations(dim_location: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -99,13 +105,14 @@ ZONE_MEASURES: list[Measure] = [
 def mart_daily(fact: DataFrame, dim_location: DataFrame, location_max_rows: int | None = None) -> DataFrame:
     """Per (pickup date, pickup borough, feed): 14 measures. Borough NULL for unmatched zones.
 
-    Aggregated by (date, location id, feed) first; the borough comes from
-    the location dimension joined to those partials, then partials of the
-    same borough are merged.
+    Boroughs are far fewer than zones, so each fact row probes the tiny
+    broadcast dimension and aggregates straight to the final key: the
+    partial aggregate holds at most dates x boroughs x feeds rows per task.
     """
-    part = _partials(fact, ["pickup_date_key", "pickup_location_id", "taxi_type"], DAILY_MEASURES)
+    keys = ["pickup_date_key", "borough", "taxi_type"]
     loc = _locations(dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough"), location_max_rows)
-    return _finish(part.join(loc, "pickup_location_id", "left"), ["pickup_date_key", "borough", "taxi_type"], DAILY_MEASURES)
+    joined = fact.join(loc, "pickup_location_id", "left")
+    return _output(_partials(joined, keys, DAILY_MEASURES), keys, DAILY_MEASURES)
 
 
 def mart_hourly(
@@ -118,17 +125,19 @@ def mart_hourly(
     """Per (weekday, day name, hour, borough), all weeks pooled.
 
     The date join is inner: trips outside the date dimension are dropped.
+    Both dimensions are broadcast and probed per row, so the aggregate
+    goes straight to its at most 7 x 24 x boroughs groups.
     """
-    part = _partials(
-        fact.withColumn("hour_of_day", hour_of_key("pickup_time_key")),
-        ["pickup_date_key", "hour_of_day", "pickup_location_id"],
-        HOURLY_MEASURES,
-    )
+    keys = ["day_of_week", "day_name", "hour_of_day", "borough"]
     dates = dim_date.select(F.col("date_key").alias("pickup_date_key"), "day_of_week", "day_name")
     dates = broadcast_bounded(dates, dim_date_max_rows) if dim_date_max_rows is not None else broadcast_checked(dates)
     loc = _locations(dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough"), location_max_rows)
-    joined = part.join(dates, "pickup_date_key", "inner").join(loc, "pickup_location_id", "left")
-    return _finish(joined, ["day_of_week", "day_name", "hour_of_day", "borough"], HOURLY_MEASURES)
+    joined = (
+        fact.join(dates, "pickup_date_key", "inner")
+        .join(loc, "pickup_location_id", "left")
+        .withColumn("hour_of_day", hour_of_key("pickup_time_key"))
+    )
+    return _output(_partials(joined, keys, HOURLY_MEASURES), keys, HOURLY_MEASURES)
 
 
 def mart_zone_pairs(
@@ -163,7 +172,8 @@ def mart_zone_pairs(
         "pickup_location_id", "pickup_zone_name", "pickup_borough",
         "dropoff_location_id", "dropoff_zone_name", "dropoff_borough",
     ]
-    return _finish(joined, keys, ZONE_MEASURES).where(F.col("total_trips") >= min_trips)
+    merged = _merge(joined, keys, ZONE_MEASURES)
+    return _output(merged, keys, ZONE_MEASURES).where(F.col("total_trips") >= min_trips)
 
 
 def mart_hourly_events(events: DataFrame) -> DataFrame:
