@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -95,3 +97,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the checkpoint root for written tables."""
     return f"{checkpoint_root(spark)}/starlane/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once an application.
+
+    Functions that run there import it, wherever the driver found it.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="starlane-package-"), "starlane-package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
