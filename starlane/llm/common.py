@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.session import scratch_path
+from starlane.session import scratch_path, ship_package
 
 # A word is a maximal run of characters other than space and \t \n \v \f \r.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -52,6 +53,17 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
         return spark.read.schema(df.schema).parquet(path)
 
 
+def with_package(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``query(spark, ...)`` with this package on the executors."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args, **options) -> DataFrame:
+        ship_package(spark)
+        return query(spark, *args, **options)
+
+    return run
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -118,10 +118,13 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFram
         F.col("doc_id").alias("_d"), F.col("source").alias("_src"), F.col("text_key").alias("_k"), times.cast("int").alias("_times")
     )
     # Repeated rows have equal keys; each key once, so the join adds none.
-    plan = plan.where("_times > 0").groupBy("_d", "_src", "_k").agg(F.collect_list("_times").alias("_times"))
-    same = Window.partitionBy("doc_id", "source", "__key").orderBy(F.lit(0))
-    rows = docs.withColumn("__key", F.xxhash64(text_or_empty())).withColumn("__nth", F.row_number().over(same))
+    plan = plan.where("_times > 0").groupBy("_d", "_src", "_k").agg(F.sort_array(F.collect_list("_times"), asc=False).alias("_times"))
+    plan = materialize(spark, plan, "mix-plan")
+    rows = docs.withColumn("__key", F.xxhash64(text_or_empty())).withColumn("__nth", F.lit(1))
+    if plan.where(F.size("_times") > 1).limit(1).count():
+        same = Window.partitionBy("doc_id", "source", "__key").orderBy(F.lit(0))
+        rows = rows.withColumn("__nth", F.row_number().over(same))
     on = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_src")) & (F.col("__key") == F.col("_k"))
     rows = rows.join(plan, on).where(F.col("__nth") <= F.size("_times"))
     copies = F.sequence(F.lit(1), F.element_at("_times", F.col("__nth")))
-    return rows.withColumn("__copy", F.explode(copies)).select(*[F.col(c) for c in docs.columns])
+    return rows.withColumn("__copy", F.explode(copies)).select(*[F.col(f"`{c}`") for c in docs.columns])
