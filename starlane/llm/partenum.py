@@ -8,16 +8,19 @@ most k = 2u(1-t)/(1+t) shingles: with the shingle domain cut into n > k parts,
 at least n - k parts hold exactly the same shingles of both. The signature of
 a part is a hash of the shingles a set has in it, so linked sets share one.
 
-Empty parts sign nothing. A set with fewer than n - k empty parts still shares
-a signature with anything it links to; the others sign for a further,
-independent partition as well, and at last for every single shingle.
-
-Equal sets are one node. A signature's nodes are linked to its smallest node
-first (a star, not all pairs). Where several components remain in a group,
-pairs across components are tried; a group of many nodes is first divided by
-the signatures of further partitions. A parity bitmap of each set bounds the
-difference from below and drops most pairs; all others are verified on the
-full sets. No candidate is capped.
+That holds for any part of the domain: linked sets differ in at most k of its
+shingles. The first partition leaves out shingles that a sample shows to be
+frequent (shared passages, common lines), which would sign for unlike sets.
+Empty parts sign nothing. A set with fewer than n - k empty parts shares a
+signature with anything it links to; the others sign for further, independent
+partitions of the whole domain, and at last for every single shingle.
+
+Equal sets are one node. A signature's nodes are compared with its smallest
+node first (a star, not all pairs). Where several components remain in a
+group, its nodes are compared across components, in blocks inside tasks: a
+parity bitmap of each set bounds the difference from below, and only pairs
+that pass it leave the task, to be verified on the full sets. No candidate is
+capped.
 
 Defined cases: null and empty texts have no shingles and link with nothing; a
 text shorter than a shingle has its words as the only one; rows with a null
@@ -43,9 +46,15 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 # Independent partitions a set with many empty parts tries before its shingles.
 PARTITIONS = 6
-# Groups of more nodes are divided by further signatures before pairs are made.
-GROUP_NODES = 50
-DIVISIONS = 2
+# Groups of up to so many nodes give their pairs; larger ones are compared in
+# blocks of about so many nodes.
+SMALL_GROUP = 16
+BLOCK_NODES = 500
+# Frequent shingles: in so many of about so many sampled documents. They only
+# steer which signatures are made; the links found are the same for any choice.
+SAMPLE_DOCS = 10_000
+FREQUENT = 5
+MOST_FREQUENT = 1_000_000
 
 _U = np.uint64
 
@@ -75,16 +84,13 @@ def _parts(hashes: np.ndarray, n: np.ndarray | int) -> np.ndarray:
     return ((hashes >> _U(32)) * np.asarray(n).astype(_U)) >> _U(32)
 
 
-def _sign(hashes: np.ndarray, part: np.ndarray, label: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of runs of one part (and set), and where the runs begin."""
-    heads = np.flatnonzero(part)
-    return heads, S.mix64(np.add.reduceat(S.mix64(hashes + _U(0x51ED270B)), heads) ^ label)
-
-
-def signatures(sets: np.ndarray, off: np.ndarray, percent: int = PERCENT, family: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(set index, signature) of all sets; ``family`` picks independent partitions.
+def signatures(
+    sets: np.ndarray, off: np.ndarray, percent: int = PERCENT, frequent: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(set index, signature) of all sets.
 
-    ``sets`` holds each set's hashes in ascending order, ``off`` their ranges.
+    ``sets`` holds each set's hashes in ascending order, ``off`` their ranges;
+    ``frequent``, ascending, is left out of the first partition.
     """
     size = np.diff(off)
     if len(sets) == 0:
@@ -94,39 +100,35 @@ def signatures(sets: np.ndarray, off: np.ndarray, percent: int = PERCENT, family
     n_parts = apart + 1 + spare(apart)
     own = np.maximum(np.searchsorted(low, size, "right") - 1, 0)
     who = np.repeat(np.arange(len(size)), size)
-    owners, signed = [], []
+    rare = np.ones(len(sets), bool)
+    if frequent is not None and len(frequent):
+        at = np.minimum(np.searchsorted(frequent, sets), len(frequent) - 1)
+        rare = frequent[at] != sets
+    owners, signed = [np.zeros(0, np.int64)], [np.zeros(0, _U)]
     for ahead in (0, 1):
         tag = own + ahead
         todo = np.flatnonzero(size > 0)
         for turn in range(PARTITIONS + 1):
             if len(todo) == 0:
                 break
-            if len(todo) == len(size):
-                h, w = sets, who
+            if turn == 0:
+                h, w = sets[rare], who[rare]
             else:
                 inside = np.isin(who, todo)
-                h, w = sets[inside], who[inside]
-            seed = _U(family * 1000 + turn)
-            mixed = h if seed == 0 else S.mix64(h ^ (seed * _U(0xD1B54A32D192ED03) if seed < 2 else S.mix64(np.array([seed]))[0]))
-            if turn < PARTITIONS:
-                part = _parts(mixed, n_parts[tag[w]])
-            else:
-                part = np.arange(len(h)).astype(_U)  # every shingle by itself
-            if seed != 0:
-                order = np.lexsort((mixed, w))
-                mixed, part = mixed[order], part[order]
-                if turn == PARTITIONS:
-                    part = np.arange(len(h)).astype(_U)
-            new = np.concatenate([[True], (part[1:] != part[:-1]) | (w[1:] != w[:-1])])
+                h, w = S.mix64(sets[inside] + S.mix64(np.array([turn], _U))), who[inside]
+                order = np.lexsort((h, w))
+                h, w = h[order], w[order]
+            part = _parts(h, n_parts[tag[w]]) if turn < PARTITIONS else np.arange(len(h)).astype(_U)
+            new = np.concatenate([[True], (part[1:] != part[:-1]) | (w[1:] != w[:-1])])[: len(h)]
             at = np.flatnonzero(new)
             name = part[at] if turn < PARTITIONS else np.zeros(len(at), _U)
-            label = S.mix64((tag[w[at]].astype(_U) << _U(40)) + (seed << _U(32)) + name + _U(1))
-            _, sig = _sign(mixed, new, label)
-            owners.append(w[at])
-            signed.append(sig)
+            label = S.mix64((tag[w[at]].astype(_U) << _U(40)) + (_U(turn) << _U(32)) + name + _U(1))
+            if len(at):
+                owners.append(w[at])
+                signed.append(S.mix64(np.add.reduceat(S.mix64(h + _U(0x51ED270B)), at) ^ label))
             filled = np.bincount(w[at], minlength=len(size))[todo]
-            enough = n_parts[tag[todo]] - filled < n_parts[tag[todo]] - apart[tag[todo]]
-            todo = todo[~enough] if turn < PARTITIONS else todo[:0]
+            # Empty parts are fewer than those that linked sets share at least.
+            todo = todo[filled <= apart[tag[todo]]]
     return np.concatenate(owners), np.concatenate(signed)
 
 
@@ -175,8 +177,25 @@ def described(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     return _rows(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, check long, bitmap binary")
 
 
-def signed(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, family: int = 0) -> DataFrame:
-    """signature, node rows; a task signs equal sets once."""
+def frequent_shingles(spark: SparkSession, docs: DataFrame, number: int, words: int = SHINGLE_WORDS) -> np.ndarray:
+    """Hashes, ascending, of shingles in at least FREQUENT of about SAMPLE_DOCS
+    documents of ``number``; at most MOST_FREQUENT, the most frequent ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in S.slices(batch):
+                sets, _ = _sets_of(part, words)
+                yield pa.RecordBatch.from_arrays([pa.array(sets.view(np.int64))], ["h"])
+
+    one_in = max(1, -(-number // SAMPLE_DOCS))
+    sample = _rows(docs).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0)
+    counts = sample.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= FREQUENT)
+    rows = counts.orderBy(F.col("count").desc(), "h").limit(MOST_FREQUENT)
+    return np.sort(rows.select("h").toArrow().column("h").to_numpy().astype(np.int64).view(_U))
+
+
+def signed(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, frequent=None) -> DataFrame:
+    """signature, node rows; a task signs equal sets once. ``frequent``: a broadcast array."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
@@ -191,7 +210,8 @@ def signed(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT,
                         new[i] = True
                 size = np.where(new, np.diff(off), 0)
                 sets = sets[np.repeat(new, np.diff(off))]
-                owner, sig = signatures(sets, np.concatenate([[0], np.cumsum(size)]), percent, family)
+                offsets = np.concatenate([[0], np.cumsum(size)])
+                owner, sig = signatures(sets, offsets, percent, None if frequent is None else frequent.value)
                 yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(node[owner])], ["signature", "node"])
 
     return _rows(docs).mapInArrow(run, "signature long, node long")
@@ -256,21 +276,72 @@ def linked(spark: SparkSession, docs: DataFrame, sets: DataFrame, pairs: DataFra
     return materialize(spark, near.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "ngram-links")
 
 
-def _open_groups(spark: SparkSession, entries: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """entries (key, node) of groups that hold several components, with component and group size."""
+def _folded(maps: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, folded to ``size`` bytes."""
+    out = np.empty((len(maps), size // 8), _U)
+    for i, m in enumerate(maps):
+        x = np.frombuffer(m, _U)
+        while x.nbytes > size:
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        out[i] = x
+    return out
+
+
+def _block_pairs(percent: int):
+    """Pairs of two blocks of a group that lie in different components and that
+    sizes and bitmaps allow to link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                x, y = row["x"], row["y"]
+                size = min(len(m["bitmap"]) for m in x + y)
+                bits = [_folded([m["bitmap"] for m in side], size) for side in (x, y)]
+                n, component, node = ([np.array([m[c] for m in side], np.int64) for side in (x, y)] for c in ("n", "component", "node"))
+                for i in range(len(x)):
+                    apart = np.bitwise_count(bits[0][i] ^ bits[1]).sum(axis=1)
+                    both = n[0][i] + n[1]
+                    near = (apart <= both * (100 - percent) // (100 + percent)) & (component[1] != component[0][i])
+                    near &= 100 * np.minimum(n[0][i], n[1]) >= percent * np.maximum(n[0][i], n[1])
+                    found = node[1][near]
+                    if len(found):
+                        a, b = np.minimum(found, node[0][i]), np.maximum(found, node[0][i])
+                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return run
+
+
+def _open_pairs(spark: SparkSession, entries: DataFrame, sets: DataFrame, links: DataFrame, percent: int, block_nodes: int) -> DataFrame:
+    """Pairs of nodes (a, b) that share a signature, lie in different components
+    of ``links`` and may link."""
     labels = components(spark, links)
     of = sets.join(labels, sets["set_id"] == labels["node"], "left").select(
-        sets["node"].alias("n"), F.coalesce("label", "set_id").alias("component")
+        sets["node"].alias("n"), F.coalesce("label", "set_id").alias("component"), "n_shingles", "bitmap"
     )
-    named = entries.join(of, entries["node"] == of["n"]).select("key", "node", "component")
+    named = entries.join(of.select("n", "component"), entries["node"] == of["n"]).select("key", "node", "component")
     group = Window.partitionBy("key")
     named = named.withColumn("low", F.min("component").over(group)).withColumn("high", F.max("component").over(group))
     named = named.where("low <> high").withColumn("nodes", F.count(F.lit(1)).over(group))
-    return materialize(spark, named.select("key", "node", "component", "nodes"), "ngram-open")
+    named = materialize(spark, named.select("key", "node", "component", "nodes"), "ngram-open")
+    # Small groups give their pairs, which recur from signature to signature;
+    # larger ones are compared in blocks.
+    small = named.where(F.col("nodes") <= SMALL_GROUP)
+    other = small.select("key", F.col("node").alias("b"), F.col("component").alias("_c"))
+    few = small.withColumnRenamed("node", "a").join(other, "key").where("a < b and component <> _c").select("a", "b").distinct()
+    named = named.where(F.col("nodes") > SMALL_GROUP)
+    blocks = F.ceil(F.col("nodes") / F.lit(block_nodes))
+    full = named.join(of.drop("component"), named["node"] == of["n"])
+    full = full.withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks).cast("int"))
+    member = F.struct("node", "component", F.col("n_shingles").alias("n"), "bitmap")
+    full = materialize(spark, full.groupBy("key", "block").agg(F.collect_list(member).alias("members")), "ngram-blocks")
+    x = full.select("key", F.col("block").alias("i"), F.col("members").alias("x"))
+    y = full.select("key", F.col("block").alias("j"), F.col("members").alias("y"))
+    pairs = x.join(y, "key").where("i <= j").select("x", "y").mapInArrow(_block_pairs(percent), "a long, b long")
+    return few.unionByName(pairs).distinct()
 
 
 def join(
-    spark: SparkSession, docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, group_nodes: int = GROUP_NODES
+    spark: SparkSession, docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, block_nodes: int = BLOCK_NODES
 ) -> DataFrame:
     """doc_id, n_shingles, component_id of each document."""
     info = materialize(spark, described(docs, words), "ngram-info")
@@ -280,35 +351,18 @@ def join(
     )
     sets = materialize(spark, sets, "ngram-distinct")
 
+    known = docs.where(F.col("doc_id").isNotNull())
+    frequent = spark.sparkContext.broadcast(frequent_shingles(spark, known, info.count(), words))
     by = Window.partitionBy("signature")
-    rows = signed(docs.where(F.col("doc_id").isNotNull()), words, percent)
+    rows = signed(known, words, percent, frequent)
     met = rows.withColumn("first", F.min("node").over(by)).withColumn("last", F.max("node").over(by)).where("first <> last")
-    entries = materialize(spark, met.select(F.col("signature").alias("key"), "node", "first"), "ngram-entries")
+    entries = materialize(spark, met.select(F.col("signature").alias("key"), "node", "first").distinct(), "ngram-entries")
     # Sets that differ but share the 64-bit node hash (not the check) are a pair too.
     clash = sets.groupBy("node").count().where("count > 1").select(F.col("node").alias("a"), F.col("node").alias("b"))
     star = entries.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct().unionByName(clash)
     links = linked(spark, docs, sets, star, words, percent)
-
-    entries = entries.select("key", "node")
-    for division in range(DIVISIONS + 1):
-        entries = _open_groups(spark, entries.distinct(), sets, links)
-        if entries.limit(1).count() == 0:
-            break
-        # In the last round, whatever is left: no group goes untried.
-        small = entries if division == DIVISIONS else entries.where(F.col("nodes") <= group_nodes)
-        other = small.select(F.col("key"), F.col("node").alias("b"), F.col("component").alias("b_component"))
-        pairs = small.withColumnRenamed("node", "a").join(other, "key").where("a < b and component <> b_component")
-        links = links.unionByName(linked(spark, docs, sets, pairs.select("a", "b").distinct(), words, percent))
-        large = entries.where(F.col("nodes") > group_nodes)
-        if division == DIVISIONS or large.limit(1).count() == 0:
-            break
-        # Linked sets share a signature of every family: divide by the next one.
-        nodes = large.select("node").distinct()
-        members = sets.join(nodes, "node", "left_semi").select(F.col("set_id").alias("doc_id"))
-        texts = docs.where(F.col("doc_id").isNotNull()).join(members, docs["doc_id"].cast("long") == members["doc_id"], "left_semi")
-        more = signed(texts, words, percent, family=division + 1).withColumnRenamed("node", "n")
-        divided = large.join(more, large["node"] == more["n"]).select(F.xxhash64("key", "signature").alias("key"), "node")
-        entries = materialize(spark, divided, "ngram-divided")
+    more = _open_pairs(spark, entries.select("key", "node"), sets, links, percent, block_nodes)
+    links = links.unionByName(linked(spark, docs, sets, more, words, percent))
 
     labels = components(spark, links)
     named_sets = sets.join(labels, sets["set_id"] == labels["node"], "left").select(

@@ -51,7 +51,8 @@ Span = tuple[int, int, str]
 
 _LOCAL_RUN = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+# Possessive: a long run of digits is read once.
+_DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
