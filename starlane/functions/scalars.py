@@ -22,11 +22,12 @@ __all__ = [
     "hour_of_key",
     "day_of_week0",
     "SURROGATE_NULL_TOKEN",
+    "double_text",
     "surrogate_key",
-    "cents",
+    "exact_parts",
+    "total_of",
     "exact_sum",
     "exact_avg",
-    "safe_ratio",
     "is_fixed_holiday",
     "FIXED_HOLIDAYS",
 ]
@@ -43,13 +44,14 @@ def round_half_away(x: ColumnOrName, digits: int = 2) -> Column:
 
     The value is scaled in binary and rounded half away from zero, so
     0.145 -> 0.14 (0.145 is 0.14499.. in binary) where ``F.round`` gives
-    0.15. Values of 1e15 and more, NaN and infinities are returned as is
-    (``floor`` would saturate at 2^63).
+    0.15. Values that have no such digits any more (1e15 and more after
+    scaling), NaN and infinities are returned as is: ``floor`` would
+    saturate at 2^63.
     """
     x = as_col(x)
     scale = float(10**digits)
     rounded = F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
-    return F.when(F.abs(x) < F.lit(1e15), rounded).otherwise(x)
+    return F.when(F.abs(x) * F.lit(scale) < F.lit(1e15), rounded).otherwise(x)
 
 
 def round2(x: ColumnOrName) -> Column:
@@ -59,10 +61,12 @@ def round2(x: ColumnOrName) -> Column:
 def elapsed_seconds(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Seconds between two wall-clock timestamps as a double, fractions kept.
 
-    Difference of epoch microseconds; timestamp_ntz values are read in the
-    session zone, which ``configure`` pins to UTC, so DST never shifts it.
+    From the fields of the interval between them: no cast to an instant, so
+    the session time zone and its clock changes play no part.
     """
-    micros = F.unix_micros(as_col(end).cast("timestamp")) - F.unix_micros(as_col(start).cast("timestamp"))
+    span = as_col(end) - as_col(start)
+    whole = F.extract(F.lit("DAY"), span) * 86400 + F.extract(F.lit("HOUR"), span) * 3600 + F.extract(F.lit("MINUTE"), span) * 60
+    micros = whole.cast("long") * 1000000 + (F.extract(F.lit("SECOND"), span) * 1000000).cast("long")
     return micros / F.lit(1e6)
 
 
@@ -134,54 +138,88 @@ def day_of_week0(d: ColumnOrName) -> Column:
 SURROGATE_NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 
 
+def double_text(x: ColumnOrName) -> Column:
+    """Text of a double as the reference engine writes it: plain digits from
+    1e-4 up to 1e16 (Spark switches to an exponent outside 1e-3..1e7), and
+    beyond them an exponent with sign and at least two digits."""
+    x = as_col(x)
+    own, size = x.cast("string"), F.abs(x)
+    plain = F.rtrim(own.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    digits = F.regexp_replace(F.substring_index(own, "E", 1), r"\.0$", "")
+    power = F.substring_index(own, "E", -1).try_cast("int")
+    power_text = F.concat(
+        F.when(power < 0, "e-").otherwise("e+"), F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string")
+    )
+    return (
+        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), own)
+        .when(F.isnan(x), "nan")
+        .when(size == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(F.concat(digits, power_text))
+    )
+
+
 def surrogate_key(
     cols: Iterable[ColumnOrName],
     null_token: str = SURROGATE_NULL_TOKEN,
     sep: str = "-",
-    canonical_doubles: Iterable[str] = (),
+    doubles: Iterable[str] = (),
 ) -> Column:
     """md5 hex of the parts' text joined by ``sep``; NULL parts become a token.
 
-    Doubles render as Spark text, which equals the reference engine's text
-    for 1e-3 <= |x| < 1e7 (and 0); timestamps render identically. Columns
-    named in ``canonical_doubles`` are hashed as ``decimal(18,2)`` text
-    instead, which is engine-independent at any magnitude (for money and
-    distance columns with at most 2 decimals).
+    Columns named in ``doubles`` are written by ``double_text``; timestamps
+    and integers read alike in both engines.
     """
-    canonical = set(canonical_doubles)
+    wide = set(doubles)
 
     def text(c: ColumnOrName) -> Column:
-        col = as_col(c)
-        if isinstance(c, str) and c in canonical:
-            col = col.cast("decimal(18,2)")
-        return F.coalesce(col.cast("string"), F.lit(null_token))
+        own = double_text(c) if isinstance(c, str) and c in wide else as_col(c).cast("string")
+        return F.coalesce(own, F.lit(null_token))
 
     return F.md5(F.concat_ws(sep, *[text(c) for c in cols]))
 
 
-def cents(x: ColumnOrName) -> Column:
-    """A 2-decimal double as an exact count of hundredths."""
-    return F.rint(as_col(x) * F.lit(100.0)).cast("long")
+# Values below this are summed in whole parts; larger ones, NaN and
+# infinities as doubles.
+_PLAIN = 1e9
+_REST = 1e10
 
 
-def exact_sum(x: ColumnOrName) -> Column:
-    """Sum of 2-decimal doubles, independent of addition order.
+def exact_parts(x: ColumnOrName) -> dict[str, Column]:
+    """Aggregates that together hold the sum of a double column.
 
-    Summing whole hundredths as longs keeps the partial aggregate
-    fixed-width and exact, so results do not depend on partitioning.
+    A value is split into whole hundredths and what is left in units of
+    1e-10, each summed as a long: fixed-width, exact and independent of the
+    order of addition. NaN, infinities and values of 1e9 and more go into a
+    sum of doubles. Parts of several groups add up part by part.
     """
-    return F.sum(cents(x)) / F.lit(100.0)
+    x = as_col(x).cast("double")
+    plain = F.abs(x) < F.lit(_PLAIN)  # false for NaN, which is above all numbers
+    hundredths = F.rint(x * F.lit(100.0))
+    rest = (x - hundredths / F.lit(100.0)) * F.lit(_REST)
+    return {
+        "whole": F.sum(F.when(plain, hundredths.cast("long"))),
+        "rest": F.sum(F.when(plain, F.rint(rest).cast("long"))),
+        "other": F.sum(F.when(~plain, x)),
+    }
 
 
-def exact_avg(x: ColumnOrName) -> Column:
-    """Null-skipping average of 2-decimal doubles; NULL over no values."""
-    n = F.count(as_col(x))
-    return F.when(n > 0, (F.sum(cents(x)) / F.lit(100.0)) / n)
+def total_of(whole: Column, rest: Column, other: Column) -> Column:
+    """The sum from its parts; NULL over no values."""
+    exact = (whole + rest / F.lit(_REST / 100)) / F.lit(100.0)
+    return F.when(whole.isNull(), other).when(other.isNull(), exact).otherwise(exact + other)
 
 
-def safe_ratio(num: ColumnOrName, den: ColumnOrName, guard: Column) -> Column:
-    """``num / den`` only where ``guard`` holds, else NULL (ANSI-safe)."""
-    return F.when(guard, as_col(num) / as_col(den))
+def exact_sum(x: ColumnOrName) -> Column:
+    """Sum of doubles, independent of addition order; NaN stays NaN."""
+    return total_of(**exact_parts(x))
+
+
+def exact_avg(x: ColumnOrName) -> Column:
+    """Null-skipping average of doubles; NULL over no values."""
+    n = F.count(as_col(x))
+    return F.when(n > 0, exact_sum(x) / n)
 
 
 # The fixed-date holidays flagged in the date dimension

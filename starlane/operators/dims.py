@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlane.functions.scalars import day_of_week0, is_fixed_holiday
-from starlane.sources.series import date_series, date_series_between
+from starlane.sources.series import date_series, date_series_between, literal_rows
 
 # Reference default range: 2020-01-01 up to, not including, 2026-12-31.
 DEFAULT_DATE_START = date(2020, 1, 1)
@@ -48,11 +48,6 @@ def dim_date(
     return date_attributes(date_series(spark, start, end_exclusive))
 
 
-def dim_date_rows(start: date = DEFAULT_DATE_START, end_exclusive: date = DEFAULT_DATE_END_EXCLUSIVE) -> int:
-    """Row count of ``dim_date`` known without running it (a broadcast bound)."""
-    return max((end_exclusive - start).days, 0)
-
-
 def dim_date_spanning(df: DataFrame, ts: str | Column) -> DataFrame:
     """Date dimension over the days from min to max of a timestamp column.
 
@@ -85,6 +80,11 @@ def dim_time(spark: SparkSession, evening_rush: tuple[int, int] = (16, 19)) -> D
     )
 
 
+def order_time(df: DataFrame) -> DataFrame:
+    """The time dimension's serving order."""
+    return df.orderBy("time_key")
+
+
 # The Unknown member that NULL locations of the fact point to.
 UNKNOWN_LOCATION = (0, "Unknown", "Unknown", "Unknown", True)
 DIM_LOCATION_SCHEMA = "location_id int, zone_name string, borough string, service_zone string, is_unknown boolean"
@@ -93,7 +93,7 @@ DIM_LOCATION_SCHEMA = "location_id int, zone_name string, borough string, servic
 def dim_with_unknown(df: DataFrame, member: tuple, schema: str) -> DataFrame:
     """UNION ALL of a dimension with one literal member row."""
     spark = df.sparkSession
-    return df.unionByName(spark.createDataFrame([member], schema))
+    return df.unionByName(literal_rows(spark, [member], schema))
 
 
 def dim_location(zones: DataFrame) -> DataFrame:

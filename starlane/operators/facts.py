@@ -55,9 +55,21 @@ FACT_COLUMNS = [
 ]
 
 
+FACT_TYPES = dict.fromkeys(FACT_COLUMNS, "double") | {
+    "trip_id": "string",
+    "taxi_type": "string",
+    "pickup_datetime": "timestamp_ntz",
+    "dropoff_datetime": "timestamp_ntz",
+    "_loaded_at": "timestamp",
+} | dict.fromkeys(
+    [c for c in FACT_COLUMNS if c.endswith(("_key", "location_id", "code_id", "type_id"))] + ["vendor_id", "passenger_count"], "int"
+)
+
+
 def with_trip_id(df: DataFrame, key_columns: Sequence[str] = TRIP_KEY_COLUMNS) -> DataFrame:
     """Add ``trip_id`` from the raw (not yet defaulted) key columns."""
-    return df.withColumn("trip_id", surrogate_key(key_columns))
+    doubles = [n for n, t in df.dtypes if t == "double"]
+    return df.withColumn("trip_id", surrogate_key(key_columns, doubles=doubles))
 
 
 def _order(cols: Sequence[str | Column]) -> list[Column]:

@@ -4,6 +4,7 @@ month, so a high-water or month filter prunes whole directories."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from starlane.functions.scalars import ntz
-from starlane.operators.facts import DEDUPE_ORDER, FACT_COLUMNS, build_fact
-from starlane.session import scratch_path
+from starlane.operators.facts import DEDUPE_ORDER, FACT_COLUMNS, FACT_TYPES, build_fact
 
 PARTITION_COLUMN = "pickup_month"
 DEFAULT_HIGH_WATER = datetime(1900, 1, 1)
@@ -23,12 +23,27 @@ def _partitioned(fact: DataFrame) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True once a write to ``path`` has committed (a readable Parquet table)."""
+    """True once a write to ``path`` has committed (a readable Parquet table).
+
+    Only a missing or empty folder means "no table"; anything else that
+    keeps the table from being read is raised, so it is never overwritten
+    for being unreadable.
+    """
     try:
         spark.read.parquet(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
+def check_types(fact: DataFrame) -> None:
+    """Raise unless the fact has its declared column types: a stored fact
+    whose months differ in type could not be read again."""
+    wrong = {n: t for n, t in fact.dtypes if FACT_TYPES.get(n, t) != t}
+    if wrong:
+        raise TypeError(f"fact columns of another type than declared: {wrong}")
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -60,6 +75,7 @@ def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", static: bool
     few tasks (few files) instead of every task writing every month; AQE
     splits a hot month across tasks and merges small ones.
     """
+    check_types(fact)
     w = _partitioned(fact).hint("rebalance", PARTITION_COLUMN).write.mode(mode).partitionBy(PARTITION_COLUMN)
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", "static" if static else "dynamic")
@@ -80,11 +96,13 @@ def load_incremental(
       target's high-water mark, key and dedupe them, append. Late rows and
       a late file of the other feed are skipped (one shared mark), exactly
       like the reference; re-running the same batch adds nothing.
-    - ``upsert``: delete+insert on ``trip_id`` for the whole batch. Only
-      the pickup months the batch touches are rewritten: their surviving
-      rows plus the batch go to a staging folder first, then replace those
-      partitions by dynamic overwrite, so a failed job leaves the target
-      untouched and the rewrite never reads the files it replaces.
+    - ``upsert``: delete+insert on ``trip_id`` for the whole batch. The
+      batch fact is built once, into a stage beside the target. Only the
+      pickup months it touches are rewritten: their surviving rows join it
+      in the stage, then replace those months by dynamic overwrite. A job
+      that fails before that last step leaves the target untouched; the
+      last step commits file by file and is not atomic over months, but the
+      stage is complete then, and running the load again repairs it.
     """
     if mode not in ("full", "append", "upsert"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -96,22 +114,29 @@ def load_incremental(
         batch = enriched_batch.where(F.col("pickup_datetime") > ntz(mark))
         write_fact(build_fact(batch, order), target, "append")
         return target
-    batch_fact = _partitioned(build_fact(enriched_batch, order))
-    # Distinct pickup months: bounded by the calendar span, so broadcastable.
-    months = batch_fact.select(PARTITION_COLUMN).distinct()
-    current = spark.read.parquet(target)
-    kept = current.join(F.broadcast(months), PARTITION_COLUMN, "left_semi").join(
-        batch_fact.select("trip_id"), "trip_id", "left_anti"
-    )
-    staged = scratch_path(spark, "upsert-stage")
-    kept.select(*FACT_COLUMNS, PARTITION_COLUMN).unionByName(
-        batch_fact.select(*FACT_COLUMNS, PARTITION_COLUMN)
-    ).write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(staged)
-    (
-        spark.read.parquet(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COLUMN)
-        .parquet(target)
-    )
+    stage = f"{target.rstrip('/')}__stage-{uuid.uuid4().hex[:12]}"
+    write_fact(build_fact(enriched_batch, order), f"{stage}/batch")
+    batch = spark.read.parquet(f"{stage}/batch")
+    months = batch.select(PARTITION_COLUMN).distinct()
+    touched = spark.read.parquet(target).join(months, PARTITION_COLUMN, "left_semi")
+    kept = touched.join(batch.select("trip_id"), "trip_id", "left_anti")
+    write_fact(kept.select(*FACT_COLUMNS), f"{stage}/kept")
+    merged = batch.select(*FACT_COLUMNS)
+    if table_exists(spark, f"{stage}/kept"):
+        merged = merged.unionByName(read_fact(spark, f"{stage}/kept"))
+    write_fact(merged, target, "overwrite", static=False)
+    return target
+
+
+def insert_new(spark: SparkSession, target: str, enriched_batch: DataFrame, order=DEDUPE_ORDER) -> str:
+    """Append the batch's trips whose ``trip_id`` the stored fact has not got.
+
+    Complete whatever the order and size of batches, and safe to repeat: it
+    looks at the stored months the batch touches, not at a high-water mark.
+    """
+    fact = build_fact(enriched_batch, order)
+    if table_exists(spark, target):
+        stored = spark.read.parquet(target).select("trip_id", PARTITION_COLUMN)
+        fact = _partitioned(fact).join(stored, ["trip_id", PARTITION_COLUMN], "left_anti").select(*FACT_COLUMNS)
+    write_fact(fact, target, "append")
     return target

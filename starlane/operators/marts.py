@@ -1,12 +1,14 @@
 """Aggregated marts over the trip fact (C13-C15) and events (A6 on events).
 
-Measures are exact: whole hundredths summed as longs plus non-null counts,
-so results do not depend on partitioning or addition order, and a hot
+Measures are exact: the parts of ``exact_parts`` summed as longs plus non-null
+counts, so results do not depend on partitioning or addition order, and a hot
 borough or route is absorbed by the map-side partial aggregate.
 
-Where to join the dimensions depends on cardinality. The daily and hourly
+Dimensions carry no broadcast hint: Spark broadcasts them by their size in
+bytes, known from the files or, under AQE, from the shuffle. Where to join the
+dimensions depends on cardinality. The daily and hourly
 marts group by borough (few) rather than zone (many), so every fact row
-probes the tiny broadcast dimension and the partial aggregate is as small
+probes the small dimension and the partial aggregate is as small
 as the final result. The zone-pair mart's dimension attributes are 1:1
 with the fact's two integer ids, so it aggregates the fact on those ids
 first (int keys in the shuffle) and joins names to the partials only.
@@ -17,8 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlane.functions.scalars import cents, day_of_week0, exact_avg, exact_sum, hour_of_key, round2, time_key
-from starlane.operators.joins import broadcast_bounded, broadcast_checked
+from starlane.functions.scalars import day_of_week0, exact_avg, exact_parts, exact_sum, hour_of_key, round2, time_key, total_of
 
 
 # A mart measure: (output name, "sum" | "avg", fact column).
@@ -27,13 +28,14 @@ Measure = tuple[str, str, str]
 
 def _partials(fact: DataFrame, keys: list, measures: list[Measure]) -> DataFrame:
     """Phase 1, on the fact: group by integer keys into mergeable exact
-    partials (trip count, passenger sum, hundredths sum and non-null count
+    partials (trip count, passenger sum, parts of the sum and non-null count
     per measured column). Map-side partial aggregation makes this one
     shuffle of group partials; no dimension is touched yet."""
     cols = sorted({c for _, _, c in measures})
     aggs = [F.count(F.lit(1)).alias("_n"), F.sum("passenger_count").cast("long").alias("_pax")]
     for c in cols:
-        aggs += [F.sum(cents(c)).alias(f"_s_{c}"), F.count(c).alias(f"_c_{c}")]
+        aggs += [part.alias(f"_{name}_{c}") for name, part in exact_parts(c).items()]
+        aggs.append(F.count(c).alias(f"_c_{c}"))
     return fact.groupBy(*keys).agg(*aggs)
 
 
@@ -43,8 +45,7 @@ def _merge(partials: DataFrame, keys: list, measures: list[Measure]) -> DataFram
     return partials.groupBy(*keys).agg(
         F.sum("_n").alias("_n"),
         F.sum("_pax").alias("_pax"),
-        *[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in cols],
-        *[F.sum(f"_c_{c}").alias(f"_c_{c}") for c in cols],
+        *[F.sum(f"_{part}_{c}").alias(f"_{part}_{c}") for c in cols for part in ("whole", "rest", "other", "c")],
     )
 
 
@@ -52,7 +53,7 @@ def _output(merged: DataFrame, keys: list[str], measures: list[Measure]) -> Data
     """Final columns from one row of sums per key: rounded sums and averages."""
     out = []
     for name, kind, c in measures:
-        total = F.col(f"_s_{c}") / F.lit(100.0)
+        total = total_of(*[F.col(f"_{part}_{c}") for part in ("whole", "rest", "other")])
         if kind == "sum":
             out.append(round2(total).alias(name))
         else:
@@ -61,12 +62,6 @@ def _output(merged: DataFrame, keys: list[str], measures: list[Measure]) -> Data
     return merged.select(*keys, F.col("_n").alias("total_trips"), F.col("_pax").alias("total_passengers"), *out)
 
 
-def _locations(dim_location: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast the location dimension: by a known row bound when the
-    caller has one, else after a size check."""
-    return broadcast_bounded(dim_location, max_rows) if max_rows is not None else broadcast_checked(dim_location)
-
-
 DAILY_MEASURES: list[Measure] = [
     ("total_distance_miles", "sum", "trip_distance"),
     ("avg_distance_miles", "avg", "trip_distance"),
@@ -102,15 +97,15 @@ ZONE_MEASURES: list[Measure] = [
 ]
 
 
-def mart_daily(fact: DataFrame, dim_location: DataFrame, location_max_rows: int | None = None) -> DataFrame:
+def mart_daily(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
     """Per (pickup date, pickup borough, feed): 14 measures. Borough NULL for unmatched zones.
 
-    Boroughs are far fewer than zones, so each fact row probes the tiny
-    broadcast dimension and aggregates straight to the final key: the
+    Boroughs are far fewer than zones, so each fact row probes the small
+    dimension and aggregates straight to the final key: the
     partial aggregate holds at most dates x boroughs x feeds rows per task.
     """
     keys = ["pickup_date_key", "borough", "taxi_type"]
-    loc = _locations(dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough"), location_max_rows)
+    loc = dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough")
     joined = fact.join(loc, "pickup_location_id", "left")
     return _output(_partials(joined, keys, DAILY_MEASURES), keys, DAILY_MEASURES)
 
@@ -119,19 +114,16 @@ def mart_hourly(
     fact: DataFrame,
     dim_date: DataFrame,
     dim_location: DataFrame,
-    dim_date_max_rows: int | None = None,
-    location_max_rows: int | None = None,
 ) -> DataFrame:
     """Per (weekday, day name, hour, borough), all weeks pooled.
 
     The date join is inner: trips outside the date dimension are dropped.
-    Both dimensions are broadcast and probed per row, so the aggregate
+    Both dimensions are probed per row, so the aggregate
     goes straight to its at most 7 x 24 x boroughs groups.
     """
     keys = ["day_of_week", "day_name", "hour_of_day", "borough"]
     dates = dim_date.select(F.col("date_key").alias("pickup_date_key"), "day_of_week", "day_name")
-    dates = broadcast_bounded(dates, dim_date_max_rows) if dim_date_max_rows is not None else broadcast_checked(dates)
-    loc = _locations(dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough"), location_max_rows)
+    loc = dim_location.select(F.col("location_id").alias("pickup_location_id"), "borough")
     joined = (
         fact.join(dates, "pickup_date_key", "inner")
         .join(loc, "pickup_location_id", "left")
@@ -140,9 +132,7 @@ def mart_hourly(
     return _output(_partials(joined, keys, HOURLY_MEASURES), keys, HOURLY_MEASURES)
 
 
-def mart_zone_pairs(
-    fact: DataFrame, dim_location: DataFrame, min_trips: int = 10, location_max_rows: int | None = None
-) -> DataFrame:
+def mart_zone_pairs(fact: DataFrame, dim_location: DataFrame, min_trips: int = 10) -> DataFrame:
     """Per (pickup zone, dropoff zone) route with at least ``min_trips`` trips.
 
     The location dimension plays two roles; ids come from the dimension, so
@@ -151,7 +141,7 @@ def mart_zone_pairs(
     names are joined to those partials.
     """
     part = _partials(fact, ["pickup_location_id", "dropoff_location_id"], ZONE_MEASURES)
-    loc = _locations(dim_location.select("location_id", "zone_name", "borough"), location_max_rows)
+    loc = dim_location.select("location_id", "zone_name", "borough")
     pl = loc.select(
         F.col("location_id").alias("_pl_id"),
         F.col("zone_name").alias("pickup_zone_name"),

@@ -36,6 +36,17 @@ CANONICAL = [
     "_loaded_at",
 ]
 
+# Types of the canonical columns, whatever a month's files have.
+CANONICAL_TYPES = (
+    dict.fromkeys(CANONICAL, "double")
+    | dict.fromkeys(
+        ["vendor_id", "rate_code_id", "pickup_location_id", "dropoff_location_id", "payment_type_id", "passenger_count"], "int"
+    )
+    | dict.fromkeys(["pickup_datetime", "dropoff_datetime"], "timestamp_ntz")
+    | dict.fromkeys(["store_and_fwd_flag", "taxi_type"], "string")
+    | {"_loaded_at": "timestamp"}
+)
+
 # Money fields: null -> 0, double. Source name = canonical name.
 MONEY_FIELDS = [
     "fare_amount",
@@ -115,7 +126,7 @@ def standardize(
     bounds: Bounds = Bounds(),
     loaded_at: Column | None = None,
 ) -> DataFrame:
-    """Rename, default and type one raw feed, then drop garbage rows.
+    """Rename, default and type one raw feed (``CANONICAL_TYPES``), then drop garbage rows.
 
     Filters apply to the standardised values: a NULL fare is 0 and passes
     the fare bounds. Required-timestamp and window filters reach the
@@ -128,13 +139,13 @@ def standardize(
     pax, pax_t = get(n["passenger_count"])
     fee_col = get(spec.airport_fee)[0] if spec.airport_fee else None
     cols = [
-        get(n["vendor_id"], "int")[0].alias("vendor_id"),
+        int_rounded(*get(n["vendor_id"], "int")).alias("vendor_id"),
         int_rounded(F.coalesce(rate, F.lit(99)), rate_t).alias("rate_code_id"),
-        get(n["pickup_location_id"], "int")[0].alias("pickup_location_id"),
-        get(n["dropoff_location_id"], "int")[0].alias("dropoff_location_id"),
+        int_rounded(*get(n["pickup_location_id"], "int")).alias("pickup_location_id"),
+        int_rounded(*get(n["dropoff_location_id"], "int")).alias("dropoff_location_id"),
         int_rounded(F.coalesce(pay, F.lit(0)), pay_t).alias("payment_type_id"),
-        get(spec.pickup, "timestamp_ntz")[0].alias("pickup_datetime"),
-        get(spec.dropoff, "timestamp_ntz")[0].alias("dropoff_datetime"),
+        get(spec.pickup, "timestamp_ntz")[0].cast("timestamp_ntz").alias("pickup_datetime"),
+        get(spec.dropoff, "timestamp_ntz")[0].cast("timestamp_ntz").alias("dropoff_datetime"),
         int_rounded(F.coalesce(pax, F.lit(1)), pax_t).alias("passenger_count"),
         F.coalesce(get(n["trip_distance"])[0], F.lit(0)).cast("double").alias("trip_distance"),
         get(n["store_and_fwd_flag"], "string")[0].cast("string").alias("store_and_fwd_flag"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starlane.operators import checks, dims, marts, serving
@@ -18,6 +18,7 @@ from starlane.operators.facts import FACT_COLUMNS, TRIP_KEY_COLUMNS, dedupe, ded
 from starlane.operators.standardize import CANONICAL
 from starlane.plans import oracle as O
 from starlane.plans.trips import TripModel, usage_counts
+from starlane.session import scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -261,7 +262,8 @@ def _usage_sql(dim_cte: str, dim_key: str, fact_key: str) -> str:
 )
 def q_dim_date(m: TripModel) -> DataFrame:
     """Date dimension spanning the fact's pickup days (range from the data)."""
-    return _with_usage(dims.dim_date_spanning(m.fact, "pickup_datetime"), "date_key", m.fact, "pickup_date_key")
+    fact = m.stored_fact()
+    return _with_usage(dims.dim_date_spanning(fact, "pickup_datetime"), "date_key", fact, "pickup_date_key")
 
 
 @register("dim_time", W(*O.FACT_CHAIN, O.DIM_TIME) + _usage_sql("dim_time", "time_key", "pickup_time_key"))
@@ -277,7 +279,6 @@ def q_dim_location(m: TripModel) -> DataFrame:
     """Zone lookup written as a quoted CRLF CSV, read back with a declared
     schema, staged, plus the Unknown member."""
     from starlane.operators.standardize import stage_zones
-    from starlane.session import scratch_path
     from starlane.sources.lookups import ZONE_SCHEMA, read_lookup, write_lookup
 
     path = write_lookup(m.zone_lookup, scratch_path(m.spark, "zone-lookup"))
@@ -285,25 +286,8 @@ def q_dim_location(m: TripModel) -> DataFrame:
     return _with_usage(dim, "location_id", m.fact, "pickup_location_id")
 
 
-def _values(rows) -> str:
-    def lit(v):
-        if isinstance(v, bool):
-            return "true" if v else "false"
-        if isinstance(v, str):
-            return "'" + v.replace("'", "''") + "'"
-        return str(v)
-
-    return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-
-
 def _dim_lookup_sql() -> str:
-    from starlane.sources.lookups import PAYMENT_TYPES, RATE_CODES
-
-    return W(
-        *O.FACT_CHAIN,
-        f"rc as (select * from (values {_values(RATE_CODES)}) t(id, name, description))",
-        f"pt as (select * from (values {_values(PAYMENT_TYPES)}) t(id, name, is_cash))",
-    ) + (
+    return W(*O.FACT_CHAIN, O.RATE_CODES, O.PAYMENT_TYPES) + (
         "select 'rate_code' as lookup, rc.id::integer as id, rc.name, coalesce(u.trips, 0)::bigint as trips "
         "from rc left join (select rate_code_id as k, count(*) as trips from fact group by 1) u on rc.id = u.k "
         "union all "
@@ -316,19 +300,18 @@ def _dim_lookup_sql() -> str:
 def q_dim_lookup(m: TripModel) -> DataFrame:
     """Rate-code and payment-type dimensions with their fact usage; both
     seeds go through the CSV reader (written quoted, read with a schema)."""
-    from starlane.session import scratch_path
     from starlane.sources.lookups import (
         PAYMENT_TYPE_SCHEMA, RATE_CODE_SCHEMA, payment_types, rate_codes, read_lookup, write_lookup,
     )
 
-    root = scratch_path(m.spark, "seeds")
+    root, fact = scratch_path(m.spark, "seeds"), m.stored_fact()
     rc_seed = read_lookup(m.spark, write_lookup(rate_codes(m.spark), f"{root}/rate_codes"), RATE_CODE_SCHEMA)
     pt_seed = read_lookup(m.spark, write_lookup(payment_types(m.spark), f"{root}/payment_types"), PAYMENT_TYPE_SCHEMA)
-    rc = _with_usage(dims.dim_rate_code(rc_seed), "rate_code_id", m.fact, "rate_code_id").select(
+    rc = _with_usage(dims.dim_rate_code(rc_seed), "rate_code_id", fact, "rate_code_id").select(
         F.lit("rate_code").alias("lookup"), F.col("rate_code_id").alias("id"), F.col("rate_code_name").alias("name"),
         "trips",
     )
-    pt = _with_usage(dims.dim_payment_type(pt_seed), "payment_type_id", m.fact, "payment_type_id").select(
+    pt = _with_usage(dims.dim_payment_type(pt_seed), "payment_type_id", fact, "payment_type_id").select(
         F.lit("payment_type").alias("lookup"), F.col("payment_type_id").alias("id"),
         F.col("payment_name").alias("name"), "trips",
     )
@@ -380,10 +363,11 @@ def q_check_relationships(m: TripModel) -> DataFrame:
 
 @register(
     "check_accepted_range",
-    W(*O.MART_CHAIN) + "select * from mart_hourly where hour_of_day is not null and not (hour_of_day between 0 and 23)",
+    W(*O.MART_CHAIN) + "select * from mart_hourly where hour_of_day is not null and not (hour_of_day between 5 and 22)",
 )
 def q_check_accepted_range(m: TripModel) -> DataFrame:
-    return checks.accepted_range(m.hourly(), "hour_of_day", 0, 23)
+    """The range rule with bounds that some hours of the fixture violate."""
+    return checks.accepted_range(m.hourly(), "hour_of_day", 5, 22)
 
 
 @register(
@@ -428,7 +412,14 @@ def q_check_suite(m: TripModel) -> DataFrame:
 
 @register("quality_report", O.quality_sql())
 def q_quality(m: TripModel) -> DataFrame:
-    return m.quality()
+    """The report on marts stored from one build of the fact."""
+    fact = m.stored_fact()
+    root = scratch_path(m.spark, "marts")
+    stored = []
+    for name, mart in (("daily", m.daily(fact)), ("hourly", m.hourly(fact)), ("zones", m.zone_pairs(fact))):
+        mart.write.parquet(f"{root}/{name}")
+        stored.append(m.spark.read.parquet(f"{root}/{name}"))
+    return checks.quality_report(*stored)
 
 
 # -- incremental loads (each writes a fact under the checkpoint root) -------------
@@ -464,7 +455,6 @@ def _inc_sql(b1: str, b2: str, final: str) -> str:
 def q_incremental_append(m: TripModel) -> DataFrame:
     """First load, then an appended batch, then the same batch again (adds 0 rows)."""
     from starlane.operators.incremental import load_incremental, read_fact
-    from starlane.session import scratch_path
 
     target = scratch_path(m.spark, "fact-append")
     pu = F.col("pickup_datetime")
@@ -488,7 +478,6 @@ def q_incremental_late(m: TripModel) -> DataFrame:
     """The green feed lags a year; its late rows fall under the shared
     high-water mark and are skipped, as in the reference."""
     from starlane.operators.incremental import load_incremental, read_fact
-    from starlane.session import scratch_path
 
     target = scratch_path(m.spark, "fact-late")
     pu, tt = F.col("pickup_datetime"), F.col("taxi_type")
@@ -510,7 +499,6 @@ def q_incremental_late(m: TripModel) -> DataFrame:
 def q_incremental_upsert(m: TripModel) -> DataFrame:
     """Delete+insert by trip_id with an overlapping second batch (late rows kept)."""
     from starlane.operators.incremental import load_incremental, read_fact
-    from starlane.session import scratch_path
 
     target = scratch_path(m.spark, "fact-upsert")
     pu = F.col("pickup_datetime")
@@ -523,7 +511,6 @@ def q_incremental_upsert(m: TripModel) -> DataFrame:
 def q_full_refresh(m: TripModel) -> DataFrame:
     """A partial load, then a full refresh that rebuilds from all trips."""
     from starlane.operators.incremental import load_incremental, read_fact
-    from starlane.session import scratch_path
 
     target = scratch_path(m.spark, "fact-full")
     load_incremental(m.spark, target, m.enriched.where(F.col("pickup_datetime") < _pu("1997-01-01")), "full")
@@ -566,7 +553,6 @@ def q_month_files(m: TripModel) -> DataFrame:
 def q_file_manifest(m: TripModel) -> DataFrame:
     """Raw trips landed by feed and month, then checked against the expected
     months 1995-01..2001-12 (sizes vary by writer, so only presence is output)."""
-    from starlane.session import scratch_path
     from starlane.sources.files import expected_files_between, file_manifest, land_feed
 
     root = land_feed(m.raw, scratch_path(m.spark, "landing"))
@@ -590,7 +576,6 @@ RAW_ORDER = [
 )
 def q_sample_slice(m: TripModel) -> DataFrame:
     """First 500 yellow trips of 1996-03 under a total order, written and read back."""
-    from starlane.session import scratch_path
     from starlane.sources.files import sample_slice
 
     pu = F.col("tpep_pickup_datetime")
@@ -606,7 +591,6 @@ def q_sample_slice(m: TripModel) -> DataFrame:
 )
 def q_lookup_count(m: TripModel) -> DataFrame:
     """Data rows of the zone lookup CSV (records, header excluded)."""
-    from starlane.session import scratch_path
     from starlane.sources.lookups import ZONE_SCHEMA, read_lookup, write_lookup
 
     path = write_lookup(m.zone_lookup, scratch_path(m.spark, "zone-csv"))
@@ -619,7 +603,6 @@ def q_mixed_schema(m: TripModel) -> DataFrame:
     passenger_count double vs bigint, Airport_fee vs airport_fee), scanned
     by schema group, then standardised."""
     from starlane.operators.standardize import YELLOW, standardize
-    from starlane.session import scratch_path
     from starlane.sources.files import scan_feed
 
     root = scratch_path(m.spark, "drift")
@@ -670,7 +653,6 @@ def q_layered_tables(m: TripModel) -> DataFrame:
     folder per layer; row counts read back from each."""
     from starlane.operators.incremental import PARTITION_COLUMN, write_fact
     from starlane.plans.layers import Layout, register_view
-    from starlane.session import scratch_path
 
     lay = Layout(scratch_path(m.spark, "layers"))
     views = {
@@ -709,7 +691,6 @@ def q_refresh_marts(m: TripModel) -> DataFrame:
     from starlane.operators.incremental import write_fact
     from starlane.plans.layers import Layout
     from starlane.plans.refresh import refresh_marts
-    from starlane.session import scratch_path
 
     lay = Layout(scratch_path(m.spark, "refresh"))
     write_fact(m.fact, lay.path("facts", "fct_trips"))
@@ -728,36 +709,32 @@ def q_refresh_marts(m: TripModel) -> DataFrame:
     "fare_amount, tip_amount, total_amount, pickup_datetime, dropoff_datetime from fact_ranked",
 )
 def q_stream_dedupe(m: TripModel) -> DataFrame:
-    """Both landed feeds read as streams, keyed and deduplicated within a
-    watermark, written by an availableNow trigger and read back. Only
+    """Both landed feeds read as streams a few files at a time, each batch
+    inserted where the stored fact lacks its trips, and read back. Only
     columns fixed by the key are output (which duplicate survives a stream
     is arrival order)."""
+    from starlane.operators.incremental import read_fact
     from starlane.operators.standardize import GREEN, YELLOW
-    from starlane.session import scratch_path
-    from starlane.streaming.trips_stream import read_feed_stream, run_available_now, trip_keys_stream
+    from starlane.streaming.trips_stream import STREAM_COLUMNS, enriched_stream, read_feed_stream, run_available_now
 
     def feed(tag, spec):
         prefix = "tpep" if tag == "yellow" else "lpep"
-        df = read_feed_stream(m.spark, f"{m.landed}/taxi_type={tag}").withColumnsRenamed(
+        df = read_feed_stream(m.spark, f"{m.landed}/taxi_type={tag}", max_files_per_trigger=2).withColumnsRenamed(
             {"pickup_datetime": f"{prefix}_pickup_datetime", "dropoff_datetime": f"{prefix}_dropoff_datetime"}
         )
         return df, spec
 
     base = scratch_path(m.spark, "stream")
-    stream = trip_keys_stream([feed("yellow", YELLOW), feed("green", GREEN)], m.p.window)
-    run_available_now(stream, f"{base}/sink", f"{base}/checkpoint")
-    from starlane.streaming.trips_stream import STREAM_COLUMNS
-
-    return m.spark.read.parquet(f"{base}/sink").select(*STREAM_COLUMNS)
+    stream = enriched_stream([feed("yellow", YELLOW), feed("green", GREEN)], m.p.window)
+    run_available_now(stream, f"{base}/fact", f"{base}/checkpoint")
+    return read_fact(m.spark, f"{base}/fact").select(*STREAM_COLUMNS)
 
 
 # -- the reference's 75 data tests over all layers ------------------------------------
 
 
 def _reference_tests_sql() -> str:
-    from starlane.plans import model_tests as T
-    from starlane.sources.lookups import PAYMENT_TYPES, RATE_CODES
-
+    T = O
     cte_of = {
         "stg_yellow_trips": "stg_yellow", "stg_green_trips": "stg_green", "stg_taxi_zones": "stg_zones",
         "int_trips_union": "trips_union", "int_trips_enriched": "enriched", "dim_date": "dim_date",
@@ -783,10 +760,9 @@ def _reference_tests_sql() -> str:
                      f"where {c} is not null group by {c} having count(*) > 1) x)")
     ctes = W(
         *O.MART_CHAIN, O.DIM_TIME,
-        "stg_zones as (select n_nationkey + 1 as location_id, r_name as borough, n_name as zone_name, "
-        "'Zone ' || r_regionkey as service_zone from nation join region on n_regionkey = r_regionkey)",
-        f"dim_rate_code as (select * from (values {_values(RATE_CODES)}) t(rate_code_id, rate_code_name, description))",
-        f"dim_payment_type as (select * from (values {_values(PAYMENT_TYPES)}) t(payment_type_id, payment_name, is_cash))",
+        "stg_zones as (select * from dim_location where not is_unknown)",
+        O.RATE_CODES, "dim_rate_code as (select id as rate_code_id, name as rate_code_name from rc)",
+        O.PAYMENT_TYPES, "dim_payment_type as (select id as payment_type_id, name as payment_name from pt)",
         "t as (" + " union all ".join(parts) + ")",
     )
     return ctes + "select model, test_name, column_name, failures, case when failures > 0 then 'fail' else 'pass' end as status from t"
@@ -799,7 +775,6 @@ def q_reference_tests(m: TripModel) -> DataFrame:
     from starlane.operators.incremental import PARTITION_COLUMN, write_fact
     from starlane.plans.layers import Layout
     from starlane.plans.model_tests import reference_tests
-    from starlane.session import scratch_path
 
     lay = Layout(scratch_path(m.spark, "tested-layers"))
     for name, df in [("dim_date", m.dim_date), ("dim_time", m.dim_time), ("dim_location", m.dim_location),
@@ -819,3 +794,240 @@ def q_reference_tests(m: TripModel) -> DataFrame:
         for n in names:
             tables[n] = lay.read(m.spark, layer, n)
     return reference_tests(tables)
+
+
+# -- full-precision measures, wide key texts ------------------------------------------
+
+
+@register(
+    "mart_daily_precise",
+    W(
+        *O.FACT_CHAIN, O.DIM_LOCATION,
+        "thirds as (select * replace (fare_amount / 3 as fare_amount, tip_amount / 7 as tip_amount, "
+        "total_amount + 0.00012345 as total_amount) from fact)",
+        O.mart_daily("precise", "thirds"),
+    )
+    + "select * from precise",
+)
+def q_mart_precise(m: TripModel) -> DataFrame:
+    """The daily mart over amounts with far more than two decimals."""
+    amounts = {
+        "fare_amount": F.col("fare_amount") / 3,
+        "tip_amount": F.col("tip_amount") / 7,
+        "total_amount": F.col("total_amount") + 0.00012345,
+    }
+    return m.daily(m.fact.withColumns(amounts))
+
+
+@register(
+    "mart_daily_nan",
+    W(*O.FACT_CHAIN, O.DIM_LOCATION, f"placed as (select * from fact left join {O.place('start')} on start_id = pickup_location_id)")
+    + "select pickup_date_key, start_area as borough, taxi_type, count(*) as total_trips, "
+    "countif(pickup_time_key % 7 = 0) > 0 as tip_is_nan, "
+    f"if(countif(pickup_time_key % 7 = 0) > 0, null, {O.xsum('tip_amount')}) as total_tip_amount from placed group by 1, 2, 3",
+)
+def q_mart_nan(m: TripModel) -> DataFrame:
+    """The daily mart with some tips NaN: their groups' sums are NaN, no other's."""
+    tips = F.when(F.col("pickup_time_key") % 7 == 0, float("nan")).otherwise(F.col("tip_amount"))
+    daily = m.daily(m.fact.withColumn("tip_amount", tips))
+    odd = F.isnan("total_tip_amount") & F.isnan("avg_tip_amount")
+    total = F.when(~odd, F.col("total_tip_amount")).alias("total_tip_amount")
+    return daily.select("pickup_date_key", "borough", "taxi_type", "total_trips", odd.alias("tip_is_nan"), total)
+
+
+@register(
+    "surrogate_key_wide",
+    W(*O.CHAIN, "wide as (select * replace (trip_distance * 1e8 as trip_distance, fare_amount * 1e6 as fare_amount, "
+      "floor(total_amount) * 1e15 as total_amount, floor(tip_amount) / 1e9 as tip_amount) from enriched)")
+    + f"select {O.key_sql()} as trip_id, pickup_datetime, payment_type_id from wide",
+)
+def q_surrogate_key_wide(m: TripModel) -> DataFrame:
+    """Trip keys over doubles that Spark writes with an exponent."""
+    wide = m.enriched.withColumns(
+        {
+            "trip_distance": F.col("trip_distance") * 1e8,
+            "fare_amount": F.col("fare_amount") * 1e6,
+            "total_amount": F.floor("total_amount") * F.lit(1e15),
+            "tip_amount": F.floor("tip_amount") / F.lit(1e9),
+        }
+    )
+    return with_trip_id(wide).select("trip_id", "pickup_datetime", "payment_type_id")
+
+
+# -- orders, with the place in the order as a column -------------------------------------
+
+
+def _ranked(df: DataFrame, *columns: str) -> DataFrame:
+    """The ordered rows' values with their place, numbered in the written order."""
+    numbered = df.select(*columns).withColumn("_at", F.monotonically_increasing_id())
+    return numbered.select(*columns, F.row_number().over(Window.orderBy("_at")).alias("place"))
+
+
+@register(
+    "order_dim_time",
+    W(*O.FACT_CHAIN, O.DIM_TIME, "used as (select pickup_time_key as k, count(*) as trips from fact group by 1)")
+    + "select time_key, time_string, trips, row_number() over (order by time_key) as place from dim_time join used on k = time_key",
+)
+def q_order_dim_time(m: TripModel) -> DataFrame:
+    """Minutes of the day in order, those with trips."""
+    used = usage_counts(m.fact, "pickup_time_key").withColumnRenamed("pickup_time_key", "time_key")
+    return _ranked(dims.order_time(m.dim_time.join(used, "time_key")), "time_key", "time_string", "trips")
+
+
+@register(
+    "order_daily",
+    W(*O.MART_CHAIN)
+    + "select pickup_date_key, borough, taxi_type, total_trips, "
+    "row_number() over (order by pickup_date_key, borough nulls last, taxi_type) as place from mart_daily",
+)
+def q_order_daily(m: TripModel) -> DataFrame:
+    return _ranked(marts.order_daily(m.daily()), "pickup_date_key", "borough", "taxi_type", "total_trips")
+
+
+@register(
+    "order_hourly",
+    W(*O.MART_CHAIN)
+    + "select day_of_week, hour_of_day, borough, total_trips, "
+    "row_number() over (order by day_of_week, hour_of_day, borough nulls last) as place from mart_hourly",
+)
+def q_order_hourly(m: TripModel) -> DataFrame:
+    return _ranked(marts.order_hourly(m.hourly()), "day_of_week", "hour_of_day", "borough", "total_trips")
+
+
+@register(
+    "order_zone_pairs",
+    W(*O.MART_CHAIN)
+    + "select pickup_location_id, dropoff_location_id, total_trips, "
+    f"row_number() over (order by {O.ROUTE_ORDER}) as place from mart_zone",
+)
+def q_order_zone_pairs(m: TripModel) -> DataFrame:
+    return _ranked(marts.order_zone_pairs(m.zone_pairs()), "pickup_location_id", "dropoff_location_id", "total_trips")
+
+
+# -- a user's own files ----------------------------------------------------------------------
+
+
+@register(
+    "read_months",
+    W(O.FIXTURE)
+    + "select VendorID, PULocationID, pickup_datetime, total_amount from raw where taxi_type = 'yellow' "
+    "and pickup_datetime >= timestamp '1996-03-01' and pickup_datetime < timestamp '1997-09-01'",
+)
+def q_read_months(m: TripModel) -> DataFrame:
+    """Yellow trips of 1996-03..1997-08 from a landing by feed and month."""
+    from starlane.sources.files import land_feed, read_months
+
+    root = land_feed(m.raw, scratch_path(m.spark, "landing"))
+    return read_months(m.spark, root, "yellow", "1996-03", "1997-08").select(
+        "VendorID", "PULocationID", "pickup_datetime", "total_amount"
+    )
+
+
+@register(
+    "manifest_summary",
+    W(O.FIXTURE, "landed as (select distinct taxi_type as feed, strftime(pickup_datetime, '%Y-%m') as ym from raw "
+      "where pickup_datetime >= timestamp '1995-01-01' and pickup_datetime < timestamp '2002-01-01')")
+    + "select count(*) as files_present, 2 * 84 - count(*) as files_missing, true as has_size, "
+    "'1995-01 to 2001-12' as date_range, 'green, yellow' as taxi_types from landed",
+)
+def q_manifest_summary(m: TripModel) -> DataFrame:
+    """The manifest of monthly files of both feeds in one row (the size as a
+    sign: it varies by writer)."""
+    from starlane.sources.files import expected_files_between, file_manifest, land_monthly_files, manifest_summary
+
+    root = land_monthly_files(m.raw, scratch_path(m.spark, "monthly"))
+    expected = expected_files_between(m.spark, "1995-01", "2001-12", ["yellow", "green"])
+    out = manifest_summary(file_manifest(m.spark, root, expected))
+    return out.select("files_present", "files_missing", (F.col("total_size_mb") > 0).alias("has_size"), "date_range", "taxi_types")
+
+
+@register("run_all_files", O.quality_sql())
+def q_run_all_files(m: TripModel) -> DataFrame:
+    """The whole build over monthly files of both feeds and a zone CSV, as a
+    user of the library runs it: no driver table is read by the model."""
+    from starlane.plans.jobs import run_all
+    from starlane.plans.layers import Layout
+    from starlane.plans.trips import TripSources
+    from starlane.sources.files import land_monthly_files, monthly_files
+    from starlane.sources.lookups import write_lookup
+
+    base = scratch_path(m.spark, "own")
+    named = m.raw.withColumnsRenamed({"pickup_datetime": "p", "dropoff_datetime": "d"})
+    for feed, prefix in (("yellow", "tpep"), ("green", "lpep")):
+        one = named.where(F.col("taxi_type") == feed)
+        one = one.withColumnsRenamed({"p": f"{prefix}_pickup_datetime", "d": f"{prefix}_dropoff_datetime"})
+        land_monthly_files(one, f"{base}/{feed}", f"{prefix}_pickup_datetime")
+    zones = write_lookup(m.zone_lookup, f"{base}/zones")
+    files = {feed: monthly_files(m.spark, f"{base}/{feed}", feed, "1992-01", "2002-12") for feed in ("yellow", "green")}
+    own = TripModel(m.spark, params=m.p, sources=TripSources(files["yellow"], files["green"], zones))
+    return run_all(own, Layout(f"{base}/layers"), "full")
+
+
+@register(
+    "incremental_type_drift",
+    W(
+        *O.CHAIN,
+        "b1 as (select * from enriched where pickup_datetime < timestamp '1998-01-01')",
+        "b2 as (select * from enriched where pickup_datetime >= timestamp '1998-01-01')",
+        O.fact_from("b1", "f1"),
+        O.fact_from("b2", "f2"),
+    )
+    + " union all ".join(
+        f"select '{name}' as first_type, {O.FACT_COLS} from {f}" for name in ("int", "bigint") for f in ("f1", "f2")
+    ),
+)
+def q_incremental_type_drift(m: TripModel) -> DataFrame:
+    """Months whose files hold ids as int, then as bigint, and the reverse: both
+    stored facts can be read, and hold the same."""
+    from starlane.operators.enrich import enrich
+    from starlane.operators.incremental import load_incremental, read_fact
+    from starlane.operators.standardize import GREEN, YELLOW, standardize, union_feeds
+
+    ids = ("VendorID", "PULocationID", "DOLocationID")
+
+    def batch(kind: str, cond) -> DataFrame:
+        feeds = [df.withColumns({c: F.col(c).cast(kind) for c in ids}) for df in (m.raw_yellow, m.raw_green)]
+        trips = union_feeds(*[standardize(df, spec, m.p.window, m.p.bounds) for df, spec in zip(feeds, (YELLOW, GREEN), strict=True)])
+        return enrich(trips, m.p.enrich).where(cond)
+
+    out = []
+    for first, second in (("int", "bigint"), ("bigint", "int")):
+        target = scratch_path(m.spark, f"fact-{first}")
+        pu = F.col("pickup_datetime")
+        load_incremental(m.spark, target, batch(first, pu < _pu("1998-01-01")), "append")
+        load_incremental(m.spark, target, batch(second, pu >= _pu("1998-01-01")), "append")
+        out.append(read_fact(m.spark, target).select(F.lit(first).alias("first_type"), *FACT_OUT))
+    return out[0].unionByName(out[1])
+
+
+@register(
+    "mixed_schema_types",
+    "with k as (select l_orderkey as k, l_linenumber as n, l_quantity as q, l_extendedprice as p from lineitem) "
+    "select k, n, if(n % 2 = 0, k + 16777217, q) as mixed_number, "
+    "if(n % 2 = 0, (p::decimal(12,2))::varchar || '00', (floor(p * 4) / 3.2)::decimal(16,4)::varchar) as mixed_decimal, "
+    "if(n % 2 = 0, null, 'n' || n) as mixed_text from k",
+)
+def q_mixed_schema_types(m: TripModel) -> DataFrame:
+    """Files that disagree on a column: bigint and float, decimals of two
+    scales, an all-null int and text. Nothing is lost whichever comes first."""
+    from starlane.sources.files import scan_feed
+    from starlane.sources.tables import read_table
+
+    li = read_table(m.spark, m.sf_dir, "lineitem")
+    k = li.select(
+        F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("p")
+    )
+    root = scratch_path(m.spark, "types")
+    even = F.col("n") % 2 == 0
+    whole = (F.col("k") + 16777217).cast("bigint")
+    k.where(even).select(
+        "k", "n", whole.alias("number"), F.col("p").cast("decimal(12,2)").alias("price"), F.lit(None).cast("int").alias("note")
+    ).write.parquet(f"{root}/a")
+    fine = (F.floor(F.col("p") * 4) / 3.2).cast("decimal(16,4)")
+    k.where(~even).select(
+        "k", "n", F.col("q").cast("float").alias("number"), fine.alias("price"), F.concat(F.lit("n"), F.col("n").cast("string")).alias("note")
+    ).write.parquet(f"{root}/b")
+    scanned = scan_feed(m.spark, [f"{root}/a", f"{root}/b"])
+    return scanned.select(
+        "k", "n", F.col("number").alias("mixed_number"), F.col("price").cast("string").alias("mixed_decimal"), F.col("note").alias("mixed_text")
+    )

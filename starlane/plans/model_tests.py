@@ -4,7 +4,7 @@ One row per test: (model, test_name, column_name, failures, status).
 Tests run on the stored tables (dims, fact, marts) and on the lazy views
 (staging, intermediate), as a build would. Each table is scanned once for
 all its row-level tests; the fact's six relationship tests are folded into
-that same scan by left-joining the (broadcast, size-checked) dimensions'
+that same scan by left-joining the dimensions'
 key sets and counting the misses. Unique tests are partially aggregated
 counts of repeated values.
 """
@@ -16,9 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlane.operators.joins import broadcast_checked
-
-# (column, accepted values) per model; None means not_null only.
+# Which columns each test covers, by model.
 NOT_NULL = {
     "stg_yellow_trips": ["rate_code_id", "pickup_location_id", "dropoff_location_id", "payment_type_id",
                          "pickup_datetime", "dropoff_datetime"],
@@ -100,10 +98,8 @@ def _unique(model: str, df: DataFrame, col: str) -> DataFrame:
 def _fact_with_relationship_flags(fact: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     out = fact
     for col, (dim, key) in RELATIONSHIPS.items():
-        keys = broadcast_checked(
-            tables[dim].select(F.col(key).alias(col)).where(F.col(col).isNotNull()).distinct()
-            .withColumn(f"_hit_{col}", F.lit(True))
-        )
+        keys = tables[dim].select(F.col(key).alias(col)).where(F.col(col).isNotNull()).distinct()
+        keys = keys.withColumn(f"_hit_{col}", F.lit(True))
         out = out.join(keys, col, "left").withColumn(
             f"_miss_{col}", F.col(col).isNotNull() & F.col(f"_hit_{col}").isNull()
         ).drop(f"_hit_{col}")

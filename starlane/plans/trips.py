@@ -8,6 +8,7 @@ DataFrame; nothing runs until an action, so Catalyst sees the whole chain
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
 from functools import cached_property
@@ -15,13 +16,15 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.operators import checks, dims, marts, serving
+from starlane.operators import dims, marts, serving
 from starlane.operators.enrich import EnrichParams, enrich
 from starlane.operators.facts import build_fact, fact_rows
+from starlane.operators.incremental import read_fact, write_fact
 from starlane.operators.standardize import GREEN, YELLOW, Bounds, DateWindow, stage_zones, standardize, union_feeds
-from starlane.session import configure
+from starlane.session import configure, scratch_path
 from starlane.sources import fixture
-from starlane.sources.lookups import payment_types, rate_codes
+from starlane.sources.files import scan_feed
+from starlane.sources.lookups import ZONE_SCHEMA, payment_types, rate_codes, read_lookup
 from starlane.sources.tables import read_table
 
 
@@ -39,13 +42,27 @@ class TripParams:
     min_route_trips: int = 10
 
 
+@dataclass(frozen=True)
+class TripSources:
+    """A user's own feeds: Parquet files or folders per feed, whose column
+    types may drift from file to file, and the zone lookup as CSV."""
+
+    yellow: Sequence[str]
+    green: Sequence[str]
+    zones: str
+
+
 class TripModel:
-    """All layers of the trip star schema over one set of driver tables."""
+    """All layers of the trip star schema, over ``sources`` or, without them,
+    over feeds derived from the driver tables in ``sf_dir``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: TripParams = TripParams()):
+    def __init__(
+        self, spark: SparkSession, sf_dir: str | None = None, params: TripParams = TripParams(), sources: TripSources | None = None
+    ):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
         self.p = params
+        self.sources = sources
 
     # -- sources -------------------------------------------------------
     @cached_property
@@ -59,14 +76,20 @@ class TripModel:
 
     @cached_property
     def raw_yellow(self) -> DataFrame:
+        if self.sources:
+            return scan_feed(self.spark, self.sources.yellow)
         return fixture.landed_feed(self.spark, self.landed, "yellow")
 
     @cached_property
     def raw_green(self) -> DataFrame:
+        if self.sources:
+            return scan_feed(self.spark, self.sources.green)
         return fixture.landed_feed(self.spark, self.landed, "green")
 
     @cached_property
     def zone_lookup(self) -> DataFrame:
+        if self.sources:
+            return read_lookup(self.spark, self.sources.zones, ZONE_SCHEMA)
         return fixture.location_lookup(self.spark, self.sf_dir)
 
     # -- staging / intermediate (views) --------------------------------
@@ -103,20 +126,10 @@ class TripModel:
     def dim_location(self) -> DataFrame:
         return dims.dim_location(self.stg_zones)
 
-    @cached_property
-    def dim_location_rows(self) -> int:
-        """Row count of the location dimension, counted once per model; the
-        marts then broadcast it by this bound without re-checking."""
-        return self.dim_location.count()
-
     @cached_property
     def dim_date(self) -> DataFrame:
         return dims.dim_date(self.spark, self.p.dim_date_start, self.p.dim_date_end_exclusive)
 
-    @property
-    def dim_date_rows(self) -> int:
-        return dims.dim_date_rows(self.p.dim_date_start, self.p.dim_date_end_exclusive)
-
     @cached_property
     def dim_time(self) -> DataFrame:
         return dims.dim_time(self.spark)
@@ -131,21 +144,19 @@ class TripModel:
 
     # -- marts -----------------------------------------------------------
     def daily(self, fact: DataFrame | None = None) -> DataFrame:
-        return marts.mart_daily(self.fact if fact is None else fact, self.dim_location, self.dim_location_rows)
+        return marts.mart_daily(self.fact if fact is None else fact, self.dim_location)
 
     def hourly(self, fact: DataFrame | None = None) -> DataFrame:
-        return marts.mart_hourly(
-            self.fact if fact is None else fact, self.dim_date, self.dim_location, self.dim_date_rows,
-            self.dim_location_rows,
-        )
+        return marts.mart_hourly(self.fact if fact is None else fact, self.dim_date, self.dim_location)
 
     def zone_pairs(self, fact: DataFrame | None = None) -> DataFrame:
-        return marts.mart_zone_pairs(
-            self.fact if fact is None else fact, self.dim_location, self.p.min_route_trips, self.dim_location_rows
-        )
+        return marts.mart_zone_pairs(self.fact if fact is None else fact, self.dim_location, self.p.min_route_trips)
 
-    def quality(self, fact: DataFrame | None = None) -> DataFrame:
-        return checks.quality_report(self.daily(fact), self.hourly(fact), self.zone_pairs(fact))
+    def stored_fact(self) -> DataFrame:
+        """The fact built once, written to the checkpoint folder and read back."""
+        path = scratch_path(self.spark, "fact")
+        write_fact(self.fact, path)
+        return read_fact(self.spark, path)
 
     # -- serving ---------------------------------------------------------
     def by_borough(self) -> DataFrame:

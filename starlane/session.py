@@ -9,16 +9,12 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-# Runtime SQL settings every operator relies on. They can be changed on a
-# live session, so queries apply them to whatever session they are given.
+# How plans run, not what they give: results hold under any session settings,
+# the time zone included. Queries apply these to the session they are given.
 RUNTIME_CONF = {
-    # Wall-clock timestamps are timestamp_ntz; UTC keeps any LTZ maths stable.
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Incremental upserts replace only the partitions they touch.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     # HotSpot does not JIT-compile methods over 8,000 bytes of bytecode;
     # Spark's default limit (64 KB) lets wide fused stages (the trip
@@ -78,8 +74,9 @@ def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the cluster. Only where it is unset (tests,
-    local runs) do we make a local folder and register it.
+    On a cluster this is set by the cluster, and its absence is an error:
+    executors could not see a folder of the driver's. In local mode (tests)
+    driver and executors are one process, and a local folder is made.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -88,6 +85,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="starlane-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

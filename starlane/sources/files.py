@@ -49,11 +49,16 @@ def expected_files_between(spark: SparkSession, start: str, end: str, feeds: Seq
 def land_feed(raw: DataFrame, root: str, ts_col: str = "pickup_datetime", feed_col: str = "taxi_type") -> str:
     """Write raw trips to a landing zone partitioned by feed and month
     (``feed=yellow/month=2024-10/part-*.parquet``), the Spark-side form of
-    monthly files; reading a month range is then partition pruning."""
+    monthly files; reading a month range is then partition pruning.
+
+    Rows are rebalanced on feed and month first, so a month is written by a
+    few tasks; AQE splits a large one.
+    """
     (
         raw.withColumn("feed", F.col(feed_col))
         .withColumn("month", F.date_format(ts_col, "yyyy-MM"))
         .drop(feed_col)
+        .hint("rebalance", "feed", "month")
         .write.mode("overwrite")
         .partitionBy("feed", "month")
         .parquet(root)
@@ -61,6 +66,23 @@ def land_feed(raw: DataFrame, root: str, ts_col: str = "pickup_datetime", feed_c
     return root
 
 
+def land_monthly_files(raw: DataFrame, root: str, ts_col: str = "pickup_datetime", feed_col: str = "taxi_type") -> str:
+    """Write raw trips under the monthly names ``{feed}_tripdata_YYYY-MM.parquet``,
+    below one folder per feed. Trips without a time are of no month and stay out."""
+    name = F.concat(F.col(feed_col), F.lit("_tripdata_"), F.date_format(ts_col, "yyyy-MM"), F.lit(".parquet"))
+    (
+        raw.where(F.col(ts_col).isNotNull())
+        .withColumn("feed", F.col(feed_col))
+        .withColumn("file", name)
+        .drop(feed_col)
+        .hint("rebalance", "feed", "file")
+        .write.mode("overwrite")
+        .partitionBy("feed", "file")
+        .parquet(root)
+    )
+    return root
+
+
 def read_months(spark: SparkSession, root: str, feed: str, first: str, last: str) -> DataFrame:
     """Trips of one feed for months first..last ("YYYY-MM"), pruned by partition."""
     df = spark.read.parquet(root)
@@ -68,6 +90,15 @@ def read_months(spark: SparkSession, root: str, feed: str, first: str, last: str
     return df.where((F.col("feed") == feed) & (m >= first) & (m <= last)).drop("feed", "month")
 
 
+def monthly_files(spark: SparkSession, root: str, feed: str, first: str, last: str) -> list[str]:
+    """Paths of a feed's files for months first..last, by their names (one
+    entry per file of the landing; contents are not read)."""
+    found = file_listing(spark, root).select("path", *_named(F.col("path")))
+    ym = F.format_string("%04d-%02d", F.col("year"), F.col("month"))
+    found = found.where((F.col("feed") == feed) & (ym >= first) & (ym <= last))
+    return sorted(r["path"] for r in found.select("path").collect())
+
+
 def file_listing(spark: SparkSession, root: str) -> DataFrame:
     """(path, length) of every Parquet file under ``root``; contents are not read."""
     return (
@@ -79,17 +110,20 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _named(path: Column) -> list[Column]:
+    """feed, year, month of a landed file: from ``feed=../month=..`` folders or
+    from the name ``{feed}_tripdata_YYYY-MM.parquet`` of the file or its folder."""
+    pattern = r"(?:feed=([^/]+)/month=(\d{4})-(\d{2})|([^/=]+)_tripdata_(\d{4})-(\d{2})\.parquet)"
+    part = lambda folder, name: F.concat(F.regexp_extract(path, pattern, folder), F.regexp_extract(path, pattern, name))
+    return [part(1, 4).alias("feed"), part(2, 5).try_cast("int").alias("year"), part(3, 6).try_cast("int").alias("month")]
+
+
 def file_manifest(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
     """Expected (feed, month) files joined to what landed: presence, file
     count and bytes per expected file."""
     landed = (
         file_listing(spark, root)
-        .select(
-            F.regexp_extract("path", r"feed=([^/]+)/", 1).alias("feed"),
-            F.regexp_extract("path", r"month=(\d{4})-\d{2}", 1).try_cast("int").alias("year"),
-            F.regexp_extract("path", r"month=\d{4}-(\d{2})", 1).try_cast("int").alias("month"),
-            "length",
-        )
+        .select(*_named(F.col("path")), "length")
         .groupBy("feed", "year", "month")
         .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
     )
@@ -116,8 +150,29 @@ def manifest_summary(manifest: DataFrame) -> DataFrame:
     )
 
 
-def _shape(schema: T.StructType) -> tuple:
-    return tuple((f.name.lower(), f.dataType.simpleString()) for f in schema.fields)
+def _shape(schema: T.StructType) -> str:
+    return ",".join(sorted(f"{f.name.lower()}:{f.dataType.simpleString()}" for f in schema.fields))
+
+
+def _footers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
+    """(path, Arrow schema as text) of each file, read by tasks: one job however many files."""
+    import pandas as pd
+
+    def read(batches):
+        import pyarrow.dataset as ds
+        from pyarrow import fs
+
+        for batch in batches:
+            out = []
+            for p in batch["path"]:
+                system, local = fs.FileSystem.from_uri(p if "://" in p or p.startswith(("file:", "/")) else f"file://{p}")
+                fields = ds.dataset(local, filesystem=system, format="parquet").schema
+                out.append(",".join(sorted(f"{f.name.lower()}:{f.type}" for f in fields)))
+            yield pd.DataFrame({"path": batch["path"], "shape": out})
+
+    table = spark.createDataFrame([(p,) for p in paths], "path string")
+    tasks = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
+    return [tuple(r) for r in table.repartition(tasks).mapInPandas(read, "path string, shape string").collect()]
 
 
 def scan_feed(spark: SparkSession, paths: Sequence[str], target: T.StructType | None = None) -> DataFrame:
@@ -125,32 +180,26 @@ def scan_feed(spark: SparkSession, paths: Sequence[str], target: T.StructType |
 
     One multi-file read fails when a column is double in one month and
     bigint in another, and so does ``mergeSchema``. So files are grouped by
-    their schema (footer metadata only), each group is read in one scan and
-    cast to ``target`` (default: the widest type per column across
-    groups), and the groups are unioned by name, case-insensitively. The
-    plan has one scan per distinct schema, not per file.
+    their schema (footers only, read in one distributed job), each group is
+    read in one scan and cast to ``target`` (default: for each column the
+    narrowest type that holds every group's values), and the groups are
+    unioned by name, case-insensitively. The plan has one scan per distinct
+    schema, not per file.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    # Footer reads are metadata only; many files are read concurrently.
-    with ThreadPoolExecutor(max_workers=min(16, max(1, len(paths)))) as pool:
-        found = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
-    groups: dict[tuple, list[str]] = {}
-    schemas: dict[tuple, T.StructType] = {}
-    for p, s in zip(paths, found):
-        key = _shape(s)
-        groups.setdefault(key, []).append(p)
-        schemas[key] = s
+    if not paths:
+        raise ValueError("no files to scan")
+    groups: dict[str, list[str]] = {}
+    for path, shape in sorted(_footers(spark, paths)):
+        groups.setdefault(shape, []).append(path)
+    frames = [spark.read.parquet(*some) for some in groups.values()]
     if target is None:
-        target = _widest([schemas[k] for k in groups])
+        target = _holding_all([df.schema for df in frames])
     wanted = {f.name.lower(): f for f in target.fields}
     parts = []
-    for key, group_paths in groups.items():
-        df = spark.read.parquet(*group_paths)
+    for df in frames:
         have = {f.name.lower(): f.name for f in df.schema.fields}
         cols = [
-            (F.col(f"`{have[n]}`") if n in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for n, f in wanted.items()
+            (F.col(f"`{have[n]}`") if n in have else F.lit(None)).cast(f.dataType).alias(f.name) for n, f in wanted.items()
         ]
         parts.append(df.select(*cols))
     out = parts[0]
@@ -159,21 +208,41 @@ def scan_feed(spark: SparkSession, paths: Sequence[str], target: T.StructType |
     return out
 
 
-_NUMERIC_RANK = {"tinyint": 1, "smallint": 2, "int": 3, "bigint": 4, "float": 5, "double": 6}
-
-
-def _widest(schemas: Sequence[T.StructType]) -> T.StructType:
+# Digits before the point that the integer types need as decimals.
+_WHOLE_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds all values of both without loss."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    x, y = a.simpleString(), b.simpleString()
+    whole, real = list(_WHOLE_DIGITS), ("float", "double")
+    if x in whole and y in whole:
+        return a if whole.index(x) > whole.index(y) else b
+    if (x in whole or x in real) and (y in whole or y in real):
+        return T.DoubleType()  # a float holds no large integers
+    digits = [
+        (t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (_WHOLE_DIGITS[n], 0) if n in _WHOLE_DIGITS else None
+        for t, n in ((a, x), (b, y))
+    ]
+    if all(digits):
+        left, scale = max(d[0] for d in digits), max(d[1] for d in digits)
+        return T.DecimalType(left + scale, scale) if left + scale <= 38 else T.StringType()
+    if {x, y} <= {"date", "timestamp_ntz"}:
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def _holding_all(schemas: Sequence[T.StructType]) -> T.StructType:
     fields: dict[str, T.StructField] = {}
     for s in schemas:
         for f in s.fields:
             k = f.name.lower()
-            if k not in fields:
-                fields[k] = T.StructField(f.name, f.dataType, True)
-                continue
-            cur = fields[k].dataType.simpleString()
-            new = f.dataType.simpleString()
-            if _NUMERIC_RANK.get(new, 0) > _NUMERIC_RANK.get(cur, 0):
-                fields[k] = T.StructField(fields[k].name, f.dataType, True)
+            kind = _common_type(fields[k].dataType, f.dataType) if k in fields else f.dataType
+            fields[k] = T.StructField(fields[k].name if k in fields else f.name, kind, True)
     return T.StructType(list(fields.values()))
 
 

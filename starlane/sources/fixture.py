@@ -38,12 +38,6 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    # A scan of fewer splits than cores (the driver tables are single row
-    # groups) is spread over the cores; large multi-file inputs already are,
-    # and are left as they are.
-    cores = spark.sparkContext.defaultParallelism
-    if li.rdd.getNumPartitions() < cores:
-        li = li.repartition(cores)
     # Plain equi-joins: Catalyst/AQE pick broadcast or sort-merge from sizes.
     return (
         li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -122,14 +116,12 @@ def land_trip_feeds(spark: SparkSession, sf_dir: str, root: str | None = None) -
 
 
 def land_raw(raw: DataFrame, target: str) -> str:
-    """Write raw trips as Parquet partitioned by feed, spread over at least
-    one file per core so later scans run on every core.
+    """Write raw trips as Parquet partitioned by feed.
 
-    The driver tables are single row groups, so their scan is one task; the
-    landing is where the layout for everything downstream is chosen.
+    Rebalanced by bytes under AQE (large partitions split, small ones
+    merged), so the number of files follows the data.
     """
-    parts = max(raw.sparkSession.sparkContext.defaultParallelism, 1)
-    raw.repartition(parts).write.mode("overwrite").partitionBy("taxi_type").parquet(target)
+    raw.hint("rebalance").write.mode("overwrite").partitionBy("taxi_type").parquet(target)
     return target
 
 
@@ -169,6 +161,6 @@ def location_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         (F.col("n_nationkey") + 1).cast("int").alias("LocationID"),
         F.col("r_name").alias("Borough"),
-        F.col("n_name").alias("Zone"),
+        F.when(F.col("n_nationkey") % 8 == 0, F.concat("n_name", F.lit(" Airport"))).otherwise(F.col("n_name")).alias("Zone"),
         F.concat(F.lit("Zone "), F.col("r_regionkey").cast("string")).alias("service_zone"),
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starlane.sources.series import literal_rows
+
 ZONE_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
 RATE_CODE_SCHEMA = "rate_code_id int, rate_code_name string, description string"
 PAYMENT_TYPE_SCHEMA = "payment_type_id int, payment_name string, is_cash boolean"
@@ -49,10 +51,9 @@ def read_lookup(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_lookup(df: DataFrame, path: str) -> str:
-    """Write a lookup as one quoted CSV with a header and CRLF line ends."""
+    """Write a lookup as quoted CSV files with a header and CRLF line ends."""
     (
-        df.coalesce(1)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("header", True)
         .option("quoteAll", True)
         .option("lineSep", "\r\n")
@@ -67,8 +68,8 @@ def lookup_count(spark: SparkSession, path: str, schema: str) -> int:
 
 
 def rate_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATE_CODES, RATE_CODE_SCHEMA)
+    return literal_rows(spark, RATE_CODES, RATE_CODE_SCHEMA)
 
 
 def payment_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_TYPES, PAYMENT_TYPE_SCHEMA)
+    return literal_rows(spark, PAYMENT_TYPES, PAYMENT_TYPE_SCHEMA)

@@ -1,7 +1,8 @@
-"""Generated series: dates (end exclusive) and integers (inclusive)."""
+"""Generated series of dates (end exclusive) and literal rows."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,9 @@ def date_series_between(df: DataFrame, start: Column, end_inclusive: Column, nam
     return df.select(F.explode(F.sequence(start, end_inclusive)).alias(name))
 
 
-def int_series(spark: SparkSession, first: int, last: int, name: str = "n") -> DataFrame:
-    """Integers first..last inclusive."""
-    return spark.range(first, last + 1).withColumnRenamed("id", name)
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few literal rows as a plan node of known size (so a join may broadcast
+    it by bytes), without shipping Python data."""
+    types = [part.rsplit(" ", 1) for part in schema.split(", ")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, types, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -35,7 +35,7 @@ def zones(spark):
 
 def test_dim_date_reference_range(spark):
     d = dims.dim_date(spark)
-    assert d.count() == 2556 == dims.dim_date_rows()
+    assert d.count() == 2556
     first = d.where("date_key = 20200101").first()
     assert first.is_holiday and first.day_of_week == 3 and first.day_name == "Wednesday" and not first.is_weekend
     last = d.agg(F.max("full_date")).first()[0]
@@ -66,7 +66,7 @@ def test_daily_mart_unknown_and_unmatched(spark):
 
 def test_hourly_mart_inner_date_join(spark):
     f = fact(spark, [dict(), dict(pickup_date_key=20261231, pickup_time_key=1230)])
-    out = marts.mart_hourly(f, dims.dim_date(spark), zones(spark), dims.dim_date_rows()).collect()
+    out = marts.mart_hourly(f, dims.dim_date(spark), zones(spark)).collect()
     assert len(out) == 1 and out[0].hour_of_day == 7 and out[0].day_of_week == 2
     daily = marts.mart_daily(f, zones(spark)).collect()
     assert {r.pickup_date_key for r in daily} == {20241001, 20261231}
@@ -87,7 +87,7 @@ def test_serving(spark):
     assert len(air) == 2 and air[0].tip_pct == 20.0
     by = serving.revenue_by_borough(marts.mart_daily(f, z)).collect()
     assert [r.borough for r in by] == ["Queens", "Manhattan"]
-    hourly = marts.mart_hourly(f, dims.dim_date(spark), z, dims.dim_date_rows())
+    hourly = marts.mart_hourly(f, dims.dim_date(spark), z)
     rush = serving.rush_vs_off_peak(hourly).collect()
     assert rush[0].period == "Morning Rush (7-9 AM)" and rush[0].trips == 23
 
@@ -114,9 +114,10 @@ def test_checks_pass_and_fail(spark):
 def test_quality_report_status(spark):
     f = fact(spark, [dict()] * 10)
     z = zones(spark)
-    daily, hourly, zp = marts.mart_daily(f, z), marts.mart_hourly(f, dims.dim_date(spark), z, 2556), marts.mart_zone_pairs(f, z)
+    daily, hourly, zp = marts.mart_daily(f, z), marts.mart_hourly(f, dims.dim_date(spark), z), marts.mart_zone_pairs(f, z)
     rep = {r.mart: r for r in checks.quality_report(daily, hourly, zp).collect()}
     assert rep["mart_daily_summary"].status == "PASSED" and rep["mart_daily_summary"].keys_covered == 1
     assert rep["mart_zone_performance"].avg_distance == 1.0
+    assert rep["mart_hourly_patterns"].weekdays_covered == 1
     bad = daily.withColumn("total_trips", F.lit(-1).cast("long"))
     assert checks.quality_report(bad, hourly, zp).where("status = 'WARNING'").count() == 1

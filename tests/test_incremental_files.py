@@ -101,3 +101,58 @@ def test_manifest_summary(spark, tmp_dir):
     assert row.date_range == "2024-10 to 2024-11" and row.taxi_types == "green, yellow"
     n_bytes = manifest.agg({"bytes": "sum"}).first()[0]
     assert n_bytes > 0 and row.total_size_mb == round(n_bytes / 2**20, 2)
+
+
+def test_an_unreadable_table_is_not_taken_for_a_missing_one(spark, tmp_dir):
+    from starlane.operators.incremental import table_exists
+
+    assert not table_exists(spark, f"{tmp_dir}/none")
+    spark.range(1).write.parquet(f"{tmp_dir}/table")
+    assert table_exists(spark, f"{tmp_dir}/table")
+    with open(f"{tmp_dir}/broken.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        table_exists(spark, f"{tmp_dir}/broken.parquet")
+
+
+def test_a_fact_of_other_types_is_not_written(spark, tmp_dir):
+    from starlane.operators.facts import build_fact
+    from starlane.operators.incremental import write_fact
+
+    fact = build_fact(trips(spark, [datetime(2024, 10, 1, 8)]))
+    with pytest.raises(TypeError):
+        write_fact(fact.withColumn("vendor_id", F.col("vendor_id").cast("bigint")), f"{tmp_dir}/fact")
+
+
+def test_upsert_builds_the_batch_once(spark, tmp_dir):
+    target = f"{tmp_dir}/fact"
+    load_incremental(spark, target, trips(spark, [datetime(2024, 9, 1, 8)]), "upsert")
+    load_incremental(spark, target, trips(spark, [datetime(2024, 10, 1, 8)]), "upsert")
+    load_incremental(spark, target, trips(spark, [datetime(2024, 10, 1, 8)]), "upsert")
+    assert read_fact(spark, target).count() == 2
+
+
+def test_manifest_knows_files_by_name(spark, tmp_dir):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from starlane.sources.files import monthly_files
+
+    os.makedirs(f"{tmp_dir}/yellow")
+    pq.write_table(pa.table({"x": [1]}), f"{tmp_dir}/yellow/yellow_tripdata_2024-10.parquet")
+    expected = expected_files_between(spark, "2024-10", "2024-11", ["yellow"])
+    rows = file_manifest(spark, tmp_dir, expected).orderBy("month").collect()
+    assert [(r.file_present, r.n_files) for r in rows] == [(True, 1), (False, 0)]
+    assert len(monthly_files(spark, tmp_dir, "yellow", "2024-10", "2024-12")) == 1
+
+
+def test_scan_feed_widens_without_loss_in_any_order(spark, tmp_dir):
+    a = spark.sql("select 16777217L as n, cast(1.25 as decimal(6,2)) as d, cast(null as int) as t")
+    b = spark.sql("select cast(0.5 as float) as n, cast(1.2599 as decimal(12,4)) as d, 'text' as t")
+    for first, second in ((a, b), (b, a)):
+        first.write.mode("overwrite").parquet(f"{tmp_dir}/p1")
+        second.write.mode("overwrite").parquet(f"{tmp_dir}/p2")
+        got = scan_feed(spark, [f"{tmp_dir}/p1", f"{tmp_dir}/p2"])
+        assert sorted((r.n, str(r.d), r.t or "") for r in got.collect()) == [(0.5, "1.2599", "text"), (16777217.0, "1.2500", "")]

@@ -2,8 +2,11 @@ import glob
 import os
 from datetime import date, datetime, timedelta
 
+import pytest
+
+from starlane.operators.incremental import read_fact
 from starlane.operators.standardize import YELLOW, DateWindow
-from starlane.streaming.trips_stream import read_feed_stream, run_available_now, trip_keys_stream
+from starlane.streaming.trips_stream import enriched_stream, read_feed_stream, run_available_now
 
 from tests.test_pipeline_ops import raw
 
@@ -14,12 +17,13 @@ def trip(p, **kw):
     return dict(tpep_pickup_datetime=p, tpep_dropoff_datetime=p + timedelta(minutes=10), **kw)
 
 
-def test_stream_drops_duplicates_within_watermark_and_late_rows(spark, tmp_dir):
+@pytest.mark.parametrize("files", [1, 2, None])
+def test_stream_is_complete_whatever_the_batches(spark, tmp_dir, files):
     src = f"{tmp_dir}/src"
     batches = [
-        [trip(T)],
+        [trip(T), trip(T)],
         [trip(T + timedelta(hours=1)), trip(T + timedelta(hours=2))],
-        # a duplicate of T (still in state) and a row three days late
+        # a duplicate of T and a row three days late
         [trip(T, payment_type=2), trip(T - timedelta(days=3)), trip(T + timedelta(hours=3))],
     ]
     seen: set[str] = set()
@@ -29,11 +33,9 @@ def test_stream_drops_duplicates_within_watermark_and_late_rows(spark, tmp_dir):
         for f in set(glob.glob(f"{src}/*.parquet")) - seen:
             os.utime(f, (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
             seen.add(f)
-    stream = trip_keys_stream(
-        [(read_feed_stream(spark, src, max_files_per_trigger=1), YELLOW)],
-        DateWindow(date(2024, 10, 1), date(2024, 10, 31)),
-        watermark="1 day",
-    )
-    run_available_now(stream, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt")
-    got = sorted(r.pickup_datetime for r in spark.read.parquet(f"{tmp_dir}/sink").collect())
-    assert got == [T + timedelta(hours=h) for h in range(4)]
+    window = DateWindow(date(2024, 10, 1), date(2024, 10, 31))
+    for _ in range(2):  # started again, it finds nothing new
+        stream = enriched_stream([(read_feed_stream(spark, src, max_files_per_trigger=files), YELLOW)], window)
+        run_available_now(stream, f"{tmp_dir}/fact", f"{tmp_dir}/ckpt")
+    got = sorted(r.pickup_datetime for r in read_fact(spark, f"{tmp_dir}/fact").collect())
+    assert got == [T - timedelta(days=3), *[T + timedelta(hours=h) for h in range(4)]]
