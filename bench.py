@@ -10,6 +10,7 @@ Prints one JSON line. Steps are timed separately after a warm-up action
   quality    the mart quality report (Q7)
   check_suite  all fact checks in one scan (Q8)
   incremental_append  high-water append of a second batch (C6)
+  incremental_upsert  delete+insert by key of an overlapping batch (C6)
 
 Set BENCH_REPLICATE=N to multiply the raw trips N times (distinct keys) for
 scale-growth runs.
@@ -98,6 +99,9 @@ def main() -> None:
     load_incremental(spark, inc, model.enriched.where(pu < cut), "full")
     timed("incremental_append", lambda: load_incremental(spark, inc, model.enriched.where(pu >= cut), "append"))
 
+    late = model.enriched.where(pu >= F.lit("1998-07-01").cast("timestamp_ntz"))
+    timed("incremental_upsert", lambda: load_incremental(spark, inc, late, "upsert"))
+
     n_fact = fact.count()
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
