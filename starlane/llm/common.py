@@ -22,6 +22,9 @@ _WRITE_CONF = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Joins with a small list of ids filter the large side before its shuffle.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
 }
 
 
@@ -68,6 +71,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def some_ids(ids: DataFrame, column: str) -> DataFrame:
+    """``ids`` marked as a selection: Spark builds a runtime Bloom filter for a
+    join only from a side that has a filter."""
+    return ids.where(F.col(column) >= F.lit(-(2**63)))
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -15,8 +15,8 @@ Empty parts sign nothing. A set with fewer than n - k empty parts shares a
 signature with anything it links to; the others sign for further, independent
 partitions of the whole domain, and at last for every single shingle.
 
-Equal sets are one node. A signature's nodes are compared with its smallest
-node first (a star, not all pairs). Where several components remain in a
+Equal sets are one node. A signature's nodes are compared with one of them
+first, its hub (a star, not all pairs). Where several components remain in a
 group, its nodes are compared across components, in blocks inside tasks: a
 parity bitmap of each set bounds the difference from below, and only pairs
 that pass it leave the task, to be verified on the full sets. No candidate is
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starlane.llm import shingles as S
-from starlane.llm.common import materialize, text_or_empty
+from starlane.llm.common import materialize, some_ids, text_or_empty
 from starlane.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -258,7 +258,7 @@ def linked(spark: SparkSession, docs: DataFrame, sets: DataFrame, pairs: DataFra
                 yield pa.RecordBatch.from_arrays([ids, pa.array(body, pa.binary())], ["set_id", "hashes"])
 
     rows = _rows(docs)
-    rows = rows.join(wanted, rows["doc_id"] == wanted["set_id"]).select("doc_id", "text", "node", "check")
+    rows = rows.join(some_ids(wanted, "set_id"), rows["doc_id"] == wanted["set_id"]).select("doc_id", "text", "node", "check")
     hashes = rows.mapInArrow(full, "set_id long, hashes binary")
     hashes = materialize(spark, hashes, "ngram-sets").dropDuplicates(["set_id"])
 
@@ -311,6 +311,17 @@ def _block_pairs(percent: int):
     return run
 
 
+def _hub_pairs(entries: DataFrame) -> DataFrame:
+    """Pairs of each node with the hub of a group it is in: the node that meets
+    most others over all its groups. Of a family of near copies that is the
+    text they were made from, which links them all."""
+    group = Window.partitionBy("key")
+    sized = entries.withColumn("met", F.count(F.lit(1)).over(group))
+    degree = sized.groupBy(F.col("node").alias("n")).agg(F.sum("met").alias("degree"))
+    hubs = entries.join(degree, entries["node"] == degree["n"]).withColumn("hub", F.max(F.struct("degree", "node")).over(group)["node"])
+    return hubs.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+
+
 def _open_pairs(spark: SparkSession, entries: DataFrame, sets: DataFrame, links: DataFrame, percent: int, block_nodes: int) -> DataFrame:
     """Pairs of nodes (a, b) that share a signature, lie in different components
     of ``links`` and may link."""
@@ -356,12 +367,12 @@ def join(
     by = Window.partitionBy("signature")
     rows = signed(known, words, percent, frequent)
     met = rows.withColumn("first", F.min("node").over(by)).withColumn("last", F.max("node").over(by)).where("first <> last")
-    entries = materialize(spark, met.select(F.col("signature").alias("key"), "node", "first").distinct(), "ngram-entries")
+    entries = materialize(spark, met.select(F.col("signature").alias("key"), "node").distinct(), "ngram-entries")
     # Sets that differ but share the 64-bit node hash (not the check) are a pair too.
     clash = sets.groupBy("node").count().where("count > 1").select(F.col("node").alias("a"), F.col("node").alias("b"))
-    star = entries.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct().unionByName(clash)
+    star = _hub_pairs(entries).unionByName(clash)
     links = linked(spark, docs, sets, star, words, percent)
-    more = _open_pairs(spark, entries.select("key", "node"), sets, links, percent, block_nodes)
+    more = _open_pairs(spark, entries, sets, links, percent, block_nodes)
     links = links.unionByName(linked(spark, docs, sets, more, words, percent))
 
     labels = components(spark, links)
