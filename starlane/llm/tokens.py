@@ -1,14 +1,19 @@
 """Token ids of whole texts by a public tokenizer file, in Arrow batches.
 
-The tokenizers library encodes; texts are cut where the tokenizer cuts anyway
-(in front of a space that a visible character follows), and the ids of each
-distinct piece are kept, as most pieces of a corpus are repeats. A text with
-any other white space next to a space is encoded whole.
+The tokenizers library encodes. Texts are cut where the tokenizer cuts anyway,
+in front of a space that a visible character follows, and the ids of each
+distinct piece are kept, as most pieces of a corpus are repeats. A piece that
+is a word of letters and a tail of punctuation is two tokenizer words; plain
+words go straight to the tokenizer's model. Which of these hold for a
+tokenizer is probed on it. A text with other white space next to a space is
+encoded whole.
 """
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +26,26 @@ from starlane.llm.shingles import slices
 
 END_ID = 0
 # Distinct pieces a worker remembers; beyond them it starts afresh.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
+# Longer pieces are encoded but not remembered.
+PIECE_CHARS = 64
 
 # A space that no visible character follows: leave such texts to the library.
 _ODD_SPACE = re.compile(r" (?=\s|$)")
+_TAIL = ".,;:!?$%&*#|"
+_PROBES = ("a", "the", "Zebra", "ouath", "thinginon", "ing", "qzx", "WORD", "êtreÉ", "straße", "ñandú", "ÿœĂ")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level tokenizers write each byte as a letter: printable ones as
+    they are, the others from 256 up."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class PieceEncoder:
-    """Ids of texts as little-endian bytes, ``width`` bytes an id."""
+    """Ids of texts as little-endian bytes, one width for all."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -37,33 +54,71 @@ class PieceEncoder:
         # Special tokens' strings in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.pieces: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        self.letters = _byte_letters()
+        whole = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        # What the tokenizer does to spaces and case, and whether its model
+        # alone gives the ids of a plain word.
+        self.drops_space = all(whole(" " + p) == whole(p) for p in _PROBES)
+        self.drops_case = all(whole(p.upper()) == whole(p.upper().lower()) for p in _PROBES)
+        self.plain = all(self._model(" " * k + p) == whole(" " * k + p) for p in _PROBES for k in (0, 1))
+        self.tails = all(whole(p + t) == whole(p) + whole(t) for p in _PROBES for t in (*_TAIL, "...", "$$$", "!!", ".%%%"))
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}  # after a space
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
+
+    def _model(self, word: str) -> list[int]:
+        if self.drops_space:
+            word = word.lstrip(" ")
+        if self.drops_case:
+            word = word.lower()
+        return [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+
+    def _is_plain(self, word: str) -> bool:
+        """Latin letters that no normalisation but the lower case touches."""
+        word = word.lstrip(" ")
+        return word.isalpha() and max(word) < "\u0250" and (word.isascii() or word.lower().isalpha())
+
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            plain = self.plain and self._is_plain(word)
+            found = self._bytes(self._model(word) if plain else self.tokenizer.encode(word, add_special_tokens=False).ids)
+            if len(word) < PIECE_CHARS:
+                self.words[word] = found
+        return found
+
+    def _piece(self, piece: str, space: str) -> bytes:
+        core = piece.rstrip(_TAIL)
+        if self.tails and core.isalpha():
+            found = self._word(space + core)
+            return found + self._word(piece[len(core) :]) if len(core) < len(piece) else found
+        return self._word(space + piece)
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str]] = []
+        out = []
+        later = self.pieces
         for t in texts:
             if _ODD_SPACE.search(t):
-                cut.append([t])
+                out.append(self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids))
                 continue
-            parts = t.split(" ")
-            cut.append([parts[0], *[" " + p for p in parts[1:]]])
-        wanted = set().union(*cut) if cut else set()
-        if len(self.pieces) + len(wanted) > CACHE_PIECES:
-            self.pieces = {}
-        known = self.pieces
-        new = [p for p in wanted if p not in known]
-        long = {}
-        for at in range(0, len(new), 5000):
-            some = new[at : at + 5000]
-            for p, b in zip(some, self._encode(some), strict=True):
-                (known if len(p) < 64 else long)[p] = b
-        if not long:
-            return [b"".join([known[p] for p in parts]) for parts in cut]
-        return [b"".join([known[p] if p in known else long[p] for p in parts]) for parts in cut]
+            head, *rest = t.split(" ")
+            new = set(rest).difference(later)
+            if len(later) + len(new) > CACHE_PIECES or len(self.words) > CACHE_PIECES:
+                later.clear()
+                self.words.clear()
+                new = set(rest)
+            space = "" if self.drops_space else " "
+            own = {p: self._piece(p, space) for p in new}
+            long = any(len(p) >= PIECE_CHARS for p in new)
+            if long:
+                later.update((p, x) for p, x in own.items() if len(p) < PIECE_CHARS)
+                out.append(self._piece(head, "") + b"".join([later[p] if p in later else own[p] for p in rest]))
+            else:
+                later.update(own)
+                out.append(self._piece(head, "") + b"".join([later[p] for p in rest]))
+        return out
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -72,8 +127,6 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 def encoder(path: str) -> PieceEncoder:
     """One encoder a worker process and tokenizer file."""
     if path not in _ENCODERS:
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]
