@@ -25,7 +25,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 # Bytes of text handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

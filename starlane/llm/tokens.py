@@ -26,7 +26,7 @@ from starlane.llm.shingles import slices
 
 END_ID = 0
 # Distinct pieces a worker remembers; beyond them it starts afresh.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 # Longer pieces are encoded but not remembered.
 PIECE_CHARS = 64
 

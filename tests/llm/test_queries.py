@@ -337,7 +337,7 @@ def test_pipeline(spark, odd):
         groups = {c for _, _, c in brute.ngram_components(seen["ngram_jaccard_join"])}
         assert sorted(groups) == sorted(d for d, _ in seen["source_mixing"])
         packed = docs.groupBy("sequence_id").sum("length").collect()
-        assert max(r[1] for r in packed) <= 2048
+        assert max((r[1] for r in packed), default=0) <= 2048
         assert {r.doc_id for r in docs.select("doc_id").distinct().collect()} == {d for d, _ in seen["best_fit_packing"]}
 
 
