@@ -25,8 +25,9 @@ from starlane.llm.common import text_or_empty
 from starlane.llm.shingles import slices
 
 END_ID = 0
-# Distinct pieces a worker remembers; beyond them it starts afresh.
-CACHE_PIECES = 200_000
+# Distinct pieces a worker remembers, in each of two generations: when the
+# newer one is full it becomes the older, and what is used again moves up.
+CACHE_PIECES = 120_000
 # Longer pieces are encoded but not remembered.
 PIECE_CHARS = 64
 
@@ -64,6 +65,7 @@ class PieceEncoder:
         self.tails = all(whole(p + t) == whole(p) + whole(t) for p in _PROBES for t in (*_TAIL, "...", "$$$", "!!", ".%%%"))
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}  # after a space
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
     def _bytes(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
@@ -81,12 +83,12 @@ class PieceEncoder:
         return word.isalpha() and max(word) < "\u0250" and (word.isascii() or word.lower().isalpha())
 
     def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
+        found = self.words.get(word) or self.older[0].get(word)
         if found is None:
             plain = self.plain and self._is_plain(word)
             found = self._bytes(self._model(word) if plain else self.tokenizer.encode(word, add_special_tokens=False).ids)
-            if len(word) < PIECE_CHARS:
-                self.words[word] = found
+        if len(word) < PIECE_CHARS:
+            self.words[word] = found
         return found
 
     def _piece(self, piece: str, space: str) -> bytes:
@@ -106,11 +108,12 @@ class PieceEncoder:
             head, *rest = t.split(" ")
             new = set(rest).difference(later)
             if len(later) + len(new) > CACHE_PIECES or len(self.words) > CACHE_PIECES:
-                later.clear()
-                self.words.clear()
-                new = set(rest)
+                self.older = self.words, later
+                self.words, self.pieces = {}, {}
+                later, new = self.pieces, set(rest)
+            older = self.older[1]
             space = "" if self.drops_space else " "
-            own = {p: self._piece(p, space) for p in new}
+            own = {p: older.get(p) or self._piece(p, space) for p in new}
             long = any(len(p) >= PIECE_CHARS for p in new)
             if long:
                 later.update((p, x) for p, x in own.items() if len(p) < PIECE_CHARS)
