@@ -5,8 +5,8 @@ in front of a space that a visible character follows, and the ids of each
 distinct piece are kept, as most pieces of a corpus are repeats. A piece that
 is a word of letters and a tail of punctuation is two tokenizer words; plain
 words go straight to the tokenizer's model. Which of these hold for a
-tokenizer is probed on it. A text with other white space next to a space is
-encoded whole.
+tokenizer is probed on it. A text with other white space next to a space, or
+with the string of an added token (<|endoftext|>), is encoded whole.
 """
 
 from __future__ import annotations
@@ -52,8 +52,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Special tokens' strings in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        # The library reads an added token's string in a text as that token.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.letters = _byte_letters()
         whole = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
@@ -102,7 +102,7 @@ class PieceEncoder:
         out = []
         later = self.pieces
         for t in texts:
-            if _ODD_SPACE.search(t):
+            if _ODD_SPACE.search(t) or any(a in t for a in self.added):
                 out.append(self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids))
                 continue
             head, *rest = t.split(" ")

@@ -13,6 +13,7 @@ import corpus_pipeline
 from starlane.llm import huffman, line_dedup, line_quality, mixing, partenum, quality_gbt, substring
 from starlane.llm.oracle import ORACLE
 from starlane.llm.queries import QUERIES, tokenizer_path
+from starlane.llm.tokens import tokenized
 from tests.llm import brute
 from tests.llm.cases import SMALL, awkward, pairs, small_documents, write_tables
 
@@ -95,6 +96,17 @@ def test_huffman_files_give_back_all_ids(spark, odd):
         assert run(spark, 2, folder, "doc_id", "start", "n_tokens", "ids_crc32") == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_are_encoded_as_the_library_does(spark, name):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path(name))
+    texts = ["a <|endoftext|> b", "x\n <|endoftext|>", "<|startoftext|>Word<|endoftext|>.", "a. <|endoftext|>", "<|ENDOFTEXT|> plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: np.frombuffer(r.ids, f"<u{r.width}").tolist() for r in tokenized(docs, tokenizer_path(name)).collect()}
+    assert found == {i: library.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+
+
 def test_huffman_corpus_in_small_blocks(spark, odd, tmp_path):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     path = str(tmp_path / "coded")
