@@ -311,6 +311,30 @@ def test_line_dedup_finds_every_edit(spark):
     assert sorted((r[0], r[1], r[2], brute.sha(r[3])) for r in found) == sorted(brute.line_dedup(rows))
 
 
+def test_line_dedup_allows_more_edits_in_longer_lines(spark):
+    """Lines around every change of the allowed edits (one in 20 characters), up to two edits beyond them."""
+    import random
+
+    r = random.Random(7)
+    lines = []
+    for n in (56, 57, 59, 60, 61, 76, 79, 80, 81, 100, 150, 259, 400):
+        x = "".join(r.choice("abcdefgh ") for _ in range(n - 1)) + "x"
+        lines.append(x)
+        for k in range(2, n // 20 + 3):
+            y = list(x)
+            for _ in range(k):
+                at = r.randrange(len(y))
+                kind = r.randrange(3)
+                y[at : at + (kind != 0)] = "" if kind == 2 else r.choice("éabc")
+            lines.append("".join(y))
+        lines.append(x[:4] + "changed" + x[11:])
+    r.shuffle(lines)
+    near = {j for j in range(len(lines)) for i in range(j) if brute.edits_within(lines[i], lines[j], max(2, max(len(lines[i]), len(lines[j])) // 20))}
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = line_dedup.deduplicated(spark, docs).where("__removed > 0").select("doc_id").collect()
+    assert {row.doc_id for row in found} == near
+
+
 def test_frequent_lines_are_taken_out(spark):
     rows = [(i, f"All rights reserved  here\nown line number {i} of this document", "h") for i in range(40)]
     rows += [(100 + i, "copied line of text", "h") for i in range(40)]  # copies: one text
