@@ -233,16 +233,16 @@ def _pruned(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def linked(spark: SparkSession, docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of pairs of nodes, the links (a, b) between set ids, verified on the full sets."""
+    """Of pairs of nodes, the links (a, b) between sets, verified on the full sets."""
     left, right = (
-        sets.select(*[F.col(c).alias(f"{s}_{n}") for c, n in (("node", "node"), ("set_id", "id"), ("n_shingles", "n"), ("bitmap", "map"))])
+        sets.select(*[F.col(c).alias(f"{s}_{n}") for c, n in (("node", "node"), ("set", "id"), ("n_shingles", "n"), ("bitmap", "map"))])
         for s in "ab"
     )
     both = pairs.join(left, pairs["a"] == left["a_node"]).join(right, pairs["b"] == right["b_node"]).where("a_id <> b_id")
     both = both.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "a_n", "b_n", "a_map", "b_map")
     near = materialize(spark, _pruned(both, percent), "ngram-near")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    wanted = materialize(spark, sets.join(wanted, "set_id", "left_semi").select("set_id", "node", "check"), "ngram-wanted")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    wanted = materialize(spark, sets.join(wanted, "set", "left_semi").select("set", "set_id", F.col("node").alias("set_node"), F.col("check").alias("set_check")), "ngram-wanted")
     if wanted.limit(1).count() == 0:
         return near.limit(0)
 
@@ -251,16 +251,16 @@ def linked(spark: SparkSession, docs: DataFrame, sets: DataFrame, pairs: DataFra
             for part in S.slices(batch):
                 found, off = _sets_of(part, words)
                 prints = [x.view(np.int64) for x in _prints(found, off)]
-                # Rows may share the doc_id but not the text.
-                same = (prints[0] == part.column("node").to_numpy()) & (prints[1] == part.column("check").to_numpy())
+                # Rows may share the doc_id but not the text, and sets the doc_id.
+                same = (prints[0] == part.column("set_node").to_numpy()) & (prints[1] == part.column("set_check").to_numpy())
                 body = [found[off[i] : off[i + 1]].tobytes() for i in np.flatnonzero(same)]
-                ids = part.column("doc_id").filter(pa.array(same))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(body, pa.binary())], ["set_id", "hashes"])
+                ids = part.column("set").filter(pa.array(same))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(body, pa.binary())], ["set", "hashes"])
 
     rows = _rows(docs)
-    rows = rows.join(some_ids(wanted, "set_id"), rows["doc_id"] == wanted["set_id"]).select("doc_id", "text", "node", "check")
-    hashes = rows.mapInArrow(full, "set_id long, hashes binary")
-    hashes = materialize(spark, hashes, "ngram-sets").dropDuplicates(["set_id"])
+    rows = rows.join(some_ids(wanted, "set_id"), rows["doc_id"] == wanted["set_id"]).select("set", "text", "set_node", "set_check")
+    hashes = rows.mapInArrow(full, "set long, hashes binary")
+    hashes = materialize(spark, hashes, "ngram-sets").dropDuplicates(["set"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,8 +271,8 @@ def linked(spark: SparkSession, docs: DataFrame, sets: DataFrame, pairs: DataFra
                 keep.append(100 * both_n >= percent * (len(p) + len(q) - both_n))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    x = hashes.select(F.col("set_id").alias("a"), F.col("hashes").alias("x"))
-    y = hashes.select(F.col("set_id").alias("b"), F.col("hashes").alias("y"))
+    x = hashes.select(F.col("set").alias("a"), F.col("hashes").alias("x"))
+    y = hashes.select(F.col("set").alias("b"), F.col("hashes").alias("y"))
     return materialize(spark, near.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "ngram-links")
 
 
@@ -326,8 +326,8 @@ def _open_pairs(spark: SparkSession, entries: DataFrame, sets: DataFrame, links:
     """Pairs of nodes (a, b) that share a signature, lie in different components
     of ``links`` and may link."""
     labels = components(spark, links)
-    of = sets.join(labels, sets["set_id"] == labels["node"], "left").select(
-        sets["node"].alias("n"), F.coalesce("label", "set_id").alias("component"), "n_shingles", "bitmap"
+    of = sets.join(labels, sets["set"] == labels["node"], "left").select(
+        sets["node"].alias("n"), F.coalesce("label", "set").alias("component"), "n_shingles", "bitmap"
     )
     named = entries.join(of.select("n", "component"), entries["node"] == of["n"]).select("key", "node", "component")
     group = Window.partitionBy("key")
@@ -360,7 +360,8 @@ def join(
     sets = named.groupBy("node", "check").agg(
         F.min("doc_id").alias("set_id"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap")
     )
-    sets = materialize(spark, sets, "ngram-distinct")
+    # set_id is not a key: two texts may share it.
+    sets = materialize(spark, sets.withColumn("set", F.monotonically_increasing_id()), "ngram-distinct")
 
     known = docs.where(F.col("doc_id").isNotNull())
     frequent = spark.sparkContext.broadcast(frequent_shingles(spark, known, info.count(), words))
@@ -376,9 +377,11 @@ def join(
     links = links.unionByName(linked(spark, docs, sets, more, words, percent))
 
     labels = components(spark, links)
-    named_sets = sets.join(labels, sets["set_id"] == labels["node"], "left").select(
-        sets["node"].alias("s_node"), F.col("check").alias("s_check"), F.coalesce("label", "set_id").alias("component")
+    named_sets = sets.join(labels, sets["set"] == labels["node"], "left").select(
+        sets["node"].alias("s_node"), F.col("check").alias("s_check"), "set_id", F.coalesce("label", "set").alias("label")
     )
+    lowest = named_sets.groupBy("label").agg(F.min("set_id").alias("component"))
+    named_sets = named_sets.join(lowest, "label").select("s_node", "s_check", "component")
     out = info.join(named_sets, (info["node"] == named_sets["s_node"]) & (info["check"] == named_sets["s_check"]), "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component"))
     return materialize(spark, out.select("doc_id", "n_shingles", component.alias("component_id")), "ngram-result")

@@ -140,6 +140,15 @@ def test_ngram_join_compares_large_groups_in_blocks(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted(brute.ngram_components(rows))
 
 
+def test_ngram_join_keeps_texts_that_share_an_id_apart(spark):
+    from tests.llm.cases import prose
+
+    x, y = prose(200, 21), prose(200, 22)
+    rows = [(5, x), (5, y), (9, x + " more"), (20, y + " more"), (3, prose(200, 23)), (3, y + " less")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, partenum.join(spark, docs).collect())) == sorted(brute.ngram_components(rows))
+
+
 def test_one_document_of_each_group_stays(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     stay = partenum.one_of_each(spark, docs)
