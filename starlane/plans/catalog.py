@@ -858,9 +858,18 @@ def q_surrogate_key_wide(m: TripModel) -> DataFrame:
 
 
 def _ranked(df: DataFrame, *columns: str) -> DataFrame:
-    """The ordered rows' values with their place, numbered in the written order."""
-    numbered = df.select(*columns).withColumn("_at", F.monotonically_increasing_id())
-    return numbered.select(*columns, F.row_number().over(Window.orderBy("_at")).alias("place"))
+    """The ordered rows' values with their place, numbered in the written order.
+
+    The id holds a row's partition and its number there: the rows stay in
+    their sorted partitions, and only the partitions' counts meet in a task.
+    """
+    path = scratch_path(df.sparkSession, "ranked")
+    df.select(*columns, F.monotonically_increasing_id().alias("_at")).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")).select("_part", before.alias("_before"))
+    number = F.col("_at") - F.shiftleft("_part", 33)
+    return rows.join(starts, "_part").select(*columns, (F.col("_before") + number + 1).alias("place"))
 
 
 @register(

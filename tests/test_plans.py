@@ -41,3 +41,20 @@ def test_zone_pairs_shuffle_integer_ids_before_names(spark):
     p = _plan(m.zone_pairs())
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
     assert any(k.startswith("pickup_location_id") and "zone_name" not in k for k in keys)
+
+
+def test_places_are_numbered_in_the_sorted_partitions(spark):
+    from starlane.plans.catalog import _ranked
+
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "6"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ranked = _ranked(spark.range(1000).selectExpr("(id * 7) % 1000 as k").orderBy("k"), "k")
+        rows = ranked.selectExpr("k", "place", "spark_partition_id() as task").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.k, r.place) for r in rows) == [(i, i + 1) for i in range(1000)]
+    assert len({r.task for r in rows}) > 1
