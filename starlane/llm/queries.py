@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.llm import huffman, line_dedup, line_quality, mixing, packing, partenum, pii, quality_gbt, sketch, substring
+from starlane.llm import bpe, conversation_trie, huffman, line_dedup, line_quality, mixing, packing, partenum, pii, quality_gbt, sketch, substring, whitening
 from starlane.llm.common import documents, with_package
 
 
@@ -61,6 +61,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality_rules(documents(spark, sf_dir))
 
 
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(bpe.round_trip(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json")))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     f.__name__: with_package(f)
     for f in (
@@ -74,5 +86,8 @@ QUERIES = {
         op8_source_mixing,
         op9_line_dedup,
         op10_quality_rules,
+        op11_bpe_codec,
+        op12_conversation_trie,
+        op13_embedding_whitening,
     )
 }

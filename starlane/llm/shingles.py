@@ -74,12 +74,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0] : off[-1]], off - off[0]
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """``batch`` in slices of about SLICE_BYTES of text."""
+def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``size`` bytes of text."""
     _, off = utf8(batch.column(text))
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(off, off[at] + SLICE_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(off, off[at] + size, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
 
