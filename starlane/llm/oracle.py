@@ -65,4 +65,48 @@ select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
 from counts
 """
 
-ORACLE = {"op8_source_mixing": OP8, "op10_quality_rules": OP10}
+# crc32 of the decimal conv_id: eight shift steps a byte (0xEDB88320 is the
+# polynomial). Sequences of turns are compared as lists of (role, text).
+OP12 = r"""
+with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+    {'role': coalesce(role, ''), 'text': coalesce(text, '')} as turn
+  from conversations where conv_id is not null
+), own as (
+  select conv_id, list(turn order by i) as turns from turns group by conv_id
+), summed as (
+  select conv_id, turns, conv_id - conv_id % 20 as base_id,
+    xor(list_reduce(list_prepend(4294967295::bigint, flatten([[ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1] for c in string_split(conv_id::varchar, '')])),
+      lambda crc, b: case when b >= 0 then xor(crc, b) when crc % 2 = 1 then xor(crc >> 1, 3988292384::bigint) else crc >> 1 end), 4294967295::bigint) % 4 as h
+  from own
+), built as (
+  select s.conv_id, coalesce(b.turns, [])[1:s.h] || s.turns[s.h + 1:] as turns
+  from summed s left join own b on b.conv_id = s.base_id
+), members as (
+  select conv_id, d as depth, turns[1:d] as path, len(turns) = d as ends
+  from (select conv_id, turns, unnest(range(len(turns) + 1)) as d from built)
+), nodes as (
+  select path, depth, min(conv_id) as conv_id, count(*) as n_convs,
+    (count(*) - 1) * coalesce(len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')), 0) as saved,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+  from members group by path, depth
+), named as (
+  select m.conv_id as member, m.depth, n.conv_id, n.n_convs, n.saved, n.ends_sha256 from members m join nodes n on m.path = n.path and m.depth = n.depth
+), parents as (
+  select n.conv_id, n.depth, p.conv_id as parent_conv_id from nodes n left join named p on p.member = n.conv_id and p.depth = n.depth - 1
+), children as (
+  select parent_conv_id as conv_id, depth - 1 as depth, count(*) as n from parents where depth > 0 group by all
+), below as (
+  select up.conv_id, up.depth, sum(n.saved)::bigint as saved, count(*) filter (where c.n is null) as leaves
+  from nodes n join named up on up.member = n.conv_id and up.depth <= n.depth
+    left join children c on c.conv_id = n.conv_id and c.depth = n.depth
+  group by up.conv_id, up.depth
+)
+select n.conv_id, n.depth::bigint as depth, p.parent_conv_id, n.n_convs::bigint as n_convs, coalesce(c.n, 0)::bigint as n_children,
+  b.leaves::bigint as n_leaves, b.saved as saved_tokens, n.ends_sha256
+from nodes n join parents p on p.conv_id = n.conv_id and p.depth = n.depth
+  join below b on b.conv_id = n.conv_id and b.depth = n.depth
+  left join children c on c.conv_id = n.conv_id and c.depth = n.depth
+"""
+
+ORACLE = {"op8_source_mixing": OP8, "op10_quality_rules": OP10, "op12_conversation_trie": OP12}

@@ -23,27 +23,37 @@ def trie(rows, group=20):
         h = zlib.crc32(str(c).encode()) % 4
         base = c - int(math.fmod(c, group))
         built[c] = tuple(own.get(base, [])[:h] + own[c][h:])
-    members = defaultdict(list)
+    # Nodes in the order they are met, so parents come before children.
+    ids, up, turn_of, depth, members, ends = {}, [None], [None], [0], [[]], [[]]
     for c, seq in built.items():
-        for d in range(len(seq) + 1):
-            members[seq[:d]].append(c)
-    children = defaultdict(set)
-    for seq in members:
-        if seq:
-            children[seq[:-1]].add(seq)
-    leaves, saved, nodes = defaultdict(int), defaultdict(int), defaultdict(int)
-    for seq, m in members.items():
-        words = len(re.findall(r"[^\x20\x09-\x0D]+", seq[-1][1])) if seq else 0
-        for d in range(len(seq) + 1):
-            leaves[seq[:d]] += not children[seq]
-            saved[seq[:d]] += (len(m) - 1) * words
-            nodes[seq[:d]] += 1
-    out = []
-    for seq, m in members.items():
-        ends = ",".join(str(c) for c in sorted(m) if len(built[c]) == len(seq))
-        up = min(members[seq[:-1]]) if seq else None
-        out.append((min(m), len(seq), up, len(m), len(children[seq]), leaves[seq], nodes[seq], saved[seq], hashlib.sha256(ends.encode()).hexdigest()))
-    return sorted(out)
+        at = 0
+        members[0].append(c)
+        for turn in seq:
+            if (at, turn) not in ids:
+                ids[at, turn] = len(up)
+                up.append(at)
+                turn_of.append(turn)
+                depth.append(depth[at] + 1)
+                members.append([])
+                ends.append([])
+            at = ids[at, turn]
+            members[at].append(c)
+        ends[at].append(c)
+    if not built:
+        return []
+    children = [0] * len(up)
+    for v in range(1, len(up)):
+        children[up[v]] += 1
+    words = [0, *(len(re.findall(r"[^\x20\x09-\x0D]+", t[1])) for t in turn_of[1:])]
+    leaves, nodes = [int(not n) for n in children], [1] * len(up)
+    saved = [(len(m) - 1) * w for m, w in zip(members, words)]
+    for v in range(len(up) - 1, 0, -1):
+        for sums in (leaves, nodes, saved):
+            sums[up[v]] += sums[v]
+    return sorted(
+        (min(m), depth[v], min(members[up[v]]) if v else None, len(m), children[v], leaves[v], nodes[v], saved[v], hashlib.sha256(",".join(map(str, sorted(ends[v]))).encode()).hexdigest())
+        for v, m in enumerate(members)
+    )
 
 
 TRIE_COLUMNS = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "n_nodes", "saved_tokens", "ends_sha256")
