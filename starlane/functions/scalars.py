@@ -180,35 +180,64 @@ def surrogate_key(
     return F.md5(F.concat_ws(sep, *[text(c) for c in cols]))
 
 
-# Values below this are summed in whole parts; larger ones, NaN and
-# infinities as doubles.
-_PLAIN = 1e9
-_REST = 1e10
+# An exact sum holds its value in limbs: runs of at most 24 bits, so that a long
+# takes 2^39 values (5 * 10^11) of any size in a group.
+_BITS = 24
+_UNITS = 1e8  # the rest of a hundredth is counted in units of 1e-10
+_HELD = 2.0**55
+SUM_PARTS = ("cents0", "cents1", "cents2", "units0", "units1", "rest0", "rest1", "other")
+
+
+def _limbs(x: Column, n: int) -> list[Column]:
+    mask = F.lit((1 << _BITS) - 1).cast("long")
+    return [(F.shiftright(x, _BITS * i) if i else x).bitwiseAND(mask) for i in range(n - 1)] + [F.shiftright(x, _BITS * (n - 1))]
 
 
 def exact_parts(x: ColumnOrName) -> dict[str, Column]:
     """Aggregates that together hold the sum of a double column.
 
-    A value is split into whole hundredths and what is left in units of
-    1e-10, each summed as a long: fixed-width, exact and independent of the
-    order of addition. NaN, infinities and values of 1e9 and more go into a
-    sum of doubles. Parts of several groups add up part by part.
+    A value under 2^55 (3.6e16) is split into whole hundredths, what is left in
+    units of 1e-10, and the rest of a unit in 48 binary places, each summed as
+    longs: fixed-width and independent of the order of addition. A double that
+    is the nearest one to a number of two places (of ten, under 9e5) counts as
+    that number. What lies outside is not dropped: NaN, infinities and larger
+    values, and what a value has below 3e-25, go into a sum of doubles. Parts
+    of several groups add up part by part.
     """
     x = as_col(x).cast("double")
-    plain = F.abs(x) < F.lit(_PLAIN)  # false for NaN, which is above all numbers
-    hundredths = F.rint(x * F.lit(100.0))
-    rest = (x - hundredths / F.lit(100.0)) * F.lit(_REST)
-    return {
-        "whole": F.sum(F.when(plain, hundredths.cast("long"))),
-        "rest": F.sum(F.when(plain, F.rint(rest).cast("long"))),
-        "other": F.sum(F.when(~plain, x)),
-    }
-
-
-def total_of(whole: Column, rest: Column, other: Column) -> Column:
+    held = F.when(F.abs(x) < F.lit(_HELD), x)  # NaN is above all numbers
+    whole = held.cast("long")
+    inside = held - whole
+    cents_inside = F.rint(inside * F.lit(100.0))
+    cents = whole * 100 + cents_inside.cast("long")
+    left = F.when(cents / F.lit(100.0) == held, F.lit(0.0)).otherwise(inside - cents_inside / F.lit(100.0)) * F.lit(_UNITS * 100)
+    units = F.rint(left)
+    named = (F.abs(held) < F.lit(9e5)) & ((cents * F.lit(_UNITS) + units) / F.lit(_UNITS * 100) == held)
+    rest = F.when(held.isNotNull(), F.when(named, F.lit(0.0)).otherwise(left - units)) * F.lit(2.0 ** (2 * _BITS))
+    places = rest.cast("long")
+    below = rest - places
+    other = F.when(held.isNull(), x).when(below != 0, below * F.lit(2.0 ** (-2 * _BITS)) / F.lit(_UNITS * 100))
+    limbs = [*_limbs(cents, 3), *_limbs(units.cast("long"), 2), *_limbs(places, 2)]
+    return {name: F.sum(c) for name, c in zip(SUM_PARTS, [*limbs, other])}
+
+
+def total_of(**parts: Column) -> Column:
     """The sum from its parts; NULL over no values."""
-    exact = (whole + rest / F.lit(_REST / 100)) / F.lit(100.0)
-    return F.when(whole.isNull(), other).when(other.isNull(), exact).otherwise(exact + other)
+
+    def joined(name: str, n: int) -> Column:
+        # As a decimal, so that limbs of opposite sign lose nothing.
+        total = parts[f"{name}0"].cast("decimal(38,0)")
+        for i in range(1, n):
+            total = total + parts[f"{name}{i}"].cast("decimal(20,0)") * F.lit(1 << (_BITS * i)).cast("decimal(17,0)")
+        return total.cast("double")
+
+    cents, units = joined("cents", 3), joined("units", 2) + joined("rest", 2) * F.lit(2.0 ** (-2 * _BITS))
+    # Closer to a number of ten places than the sum's own last place: that number.
+    near = F.rint(units)
+    close = F.abs(units - near) <= F.abs(cents * F.lit(_UNITS) + units) * F.lit(2.0**-51)
+    exact = (cents + F.when(close, near).otherwise(units) / F.lit(_UNITS)) / F.lit(100.0)
+    other = parts["other"]
+    return F.when(parts["cents0"].isNull(), other).when(other.isNull(), exact).otherwise(exact + other)
 
 
 def exact_sum(x: ColumnOrName) -> Column:

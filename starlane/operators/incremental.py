@@ -1,34 +1,41 @@
-"""Incremental fact load (C6): append past a high-water mark, upsert by
-key, or full refresh. The fact is stored as Parquet partitioned by pickup
-month, so a high-water or month filter prunes whole directories."""
+"""Incremental fact load (C6): append past a high-water mark, upsert by key,
+insert of new keys, or full refresh, into a snapshot table (``snapshots``)."""
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from starlane.functions.scalars import ntz
-from starlane.operators.facts import DEDUPE_ORDER, FACT_COLUMNS, FACT_TYPES, build_fact
-
-PARTITION_COLUMN = "pickup_month"
-DEFAULT_HIGH_WATER = datetime(1900, 1, 1)
-
-
-def _partitioned(fact: DataFrame) -> DataFrame:
-    return fact.withColumn(PARTITION_COLUMN, F.floor(F.col("pickup_date_key") / 100).cast("int"))
+from starlane.operators.facts import DEDUPE_ORDER, FACT_COLUMNS, build_fact
+from starlane.operators.snapshots import DEFAULT_HIGH_WATER, PARTITION_COLUMN, FactTable, check_types, months_of, now, read_text, stamped
+
+__all__ = [
+    "DEFAULT_HIGH_WATER",
+    "PARTITION_COLUMN",
+    "check_types",
+    "high_water",
+    "insert_new",
+    "load_incremental",
+    "load_ledger",
+    "read_fact",
+    "table_exists",
+    "write_fact",
+]
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True once a write to ``path`` has committed (a readable Parquet table).
+    """True once a load or a write to ``path`` has committed.
 
     Only a missing or empty folder means "no table"; anything else that
     keeps the table from being read is raised, so it is never overwritten
     for being unreadable.
     """
+    if read_text(spark, f"{path.rstrip('/')}/_current") is not None:
+        return True
     try:
         spark.read.parquet(path).schema
         return True
@@ -38,45 +45,34 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def check_types(fact: DataFrame) -> None:
-    """Raise unless the fact has its declared column types: a stored fact
-    whose months differ in type could not be read again."""
-    wrong = {n: t for n, t in fact.dtypes if FACT_TYPES.get(n, t) != t}
-    if wrong:
-        raise TypeError(f"fact columns of another type than declared: {wrong}")
-
-
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    """The fact as of its current snapshot, or as ``write_fact`` left it."""
+    if read_text(spark, f"{path.rstrip('/')}/_current") is not None:
+        return FactTable(spark, path).read()
     return spark.read.parquet(path).select(*FACT_COLUMNS)
 
 
-def high_water(spark: SparkSession, path: str, col: str = "pickup_datetime") -> datetime:
-    """max(col) of the stored fact, or 1900-01-01 for an empty/missing one.
+def high_water(spark: SparkSession, path: str) -> datetime:
+    """max(pickup_datetime) of the stored fact, or 1900-01-01 for an empty or
+    missing one.
 
-    The newest pickup month is found first (a partition value: no column
-    data is read), then only that month's files are scanned for the
-    maximum. One scalar reaches the driver and filters the next batch as a
-    literal, so the comparison is pushed into the Parquet scan.
+    Taken from the snapshot's metadata: no data file is opened (only of a
+    table that ``write_fact`` left are the pickups read). One scalar reaches
+    the driver and filters the next batch as a literal, so the comparison is
+    pushed into the Parquet scan.
     """
-    if not table_exists(spark, path):
-        return DEFAULT_HIGH_WATER
-    stored = spark.read.parquet(path)
-    last_month = stored.agg(F.max(PARTITION_COLUMN)).first()[0]
-    if last_month is None:
-        return DEFAULT_HIGH_WATER
-    value = stored.where(F.col(PARTITION_COLUMN) == last_month).agg(F.max(col)).first()[0]
-    return value if value is not None else DEFAULT_HIGH_WATER
+    return FactTable(spark, path).high_water()
 
 
 def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", static: bool = True) -> None:
-    """Write the fact partitioned by pickup month.
+    """Write the fact as a plain Parquet folder partitioned by pickup month.
 
     Rows are rebalanced on the month first, so each month is written by a
     few tasks (few files) instead of every task writing every month; AQE
     splits a hot month across tasks and merges small ones.
     """
     check_types(fact)
-    w = _partitioned(fact).hint("rebalance", PARTITION_COLUMN).write.mode(mode).partitionBy(PARTITION_COLUMN)
+    w = months_of(fact).hint("rebalance", PARTITION_COLUMN).write.mode(mode).partitionBy(PARTITION_COLUMN)
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", "static" if static else "dynamic")
     w.parquet(path)
@@ -88,55 +84,55 @@ def load_incremental(
     enriched_batch: DataFrame,
     mode: str = "append",
     order=DEDUPE_ORDER,
+    at: datetime | None = None,
 ) -> str:
     """Load a batch of enriched trips into the stored fact at ``target``.
 
-    - ``full``: rebuild the fact from the batch alone (static overwrite).
+    - ``full``: the fact is rebuilt from the batch alone.
     - ``append``: keep only batch rows with pickup strictly after the
       target's high-water mark, key and dedupe them, append. Late rows and
       a late file of the other feed are skipped (one shared mark), exactly
       like the reference; re-running the same batch adds nothing.
-    - ``upsert``: delete+insert on ``trip_id`` for the whole batch. The
-      batch fact is built once, into a stage beside the target. Only the
-      pickup months it touches are rewritten: their surviving rows join it
-      in the stage, then replace those months by dynamic overwrite. A job
-      that fails before that last step leaves the target untouched; the
-      last step commits file by file and is not atomic over months, but the
-      stage is complete then, and running the load again repairs it.
+    - ``upsert``: delete+insert on ``trip_id`` for the whole batch. Only the
+      pieces of the touched months whose Bloom filter has a trip of the batch
+      are read and written anew.
+
+    Each load becomes visible at once, when the pointer moves to its
+    snapshot; one that fails before leaves the table as it was. Rows carry
+    the load's time (``at``, default now) as ``_loaded_at``.
     """
     if mode not in ("full", "append", "upsert"):
         raise ValueError(f"unknown mode {mode!r}")
+    table, at = FactTable(spark, target), at or now()
+    batch = stamped(enriched_batch, at)
     if mode == "full" or not table_exists(spark, target):
-        write_fact(build_fact(enriched_batch, order), target, "overwrite", static=True)
-        return target
-    if mode == "append":
-        mark = high_water(spark, target)
-        batch = enriched_batch.where(F.col("pickup_datetime") > ntz(mark))
-        write_fact(build_fact(batch, order), target, "append")
-        return target
-    stage = f"{target.rstrip('/')}__stage-{uuid.uuid4().hex[:12]}"
-    write_fact(build_fact(enriched_batch, order), f"{stage}/batch")
-    batch = spark.read.parquet(f"{stage}/batch")
-    months = batch.select(PARTITION_COLUMN).distinct()
-    touched = spark.read.parquet(target).join(months, PARTITION_COLUMN, "left_semi")
-    kept = touched.join(batch.select("trip_id"), "trip_id", "left_anti")
-    write_fact(kept.select(*FACT_COLUMNS), f"{stage}/kept")
-    merged = batch.select(*FACT_COLUMNS)
-    if table_exists(spark, f"{stage}/kept"):
-        merged = merged.unionByName(read_fact(spark, f"{stage}/kept"))
-    write_fact(merged, target, "overwrite", static=False)
+        table.replace(build_fact(batch, order), at)
+    elif mode == "append":
+        batch = batch.where(F.col("pickup_datetime") > ntz(table.high_water()))
+        table.append(build_fact(batch, order), at)
+    else:
+        table.upsert(build_fact(batch, order), at)
     return target
 
 
-def insert_new(spark: SparkSession, target: str, enriched_batch: DataFrame, order=DEDUPE_ORDER) -> str:
+def insert_new(spark: SparkSession, target: str, enriched_batch: DataFrame, order=DEDUPE_ORDER, at: datetime | None = None) -> str:
     """Append the batch's trips whose ``trip_id`` the stored fact has not got.
 
-    Complete whatever the order and size of batches, and safe to repeat: it
-    looks at the stored months the batch touches, not at a high-water mark.
+    Complete whatever the order and size of batches, and safe to repeat: a
+    trip's month is part of its key, so the stored pieces of the batch's
+    months are asked, by their Bloom filters first. A batch of new trips
+    reads no stored row.
     """
-    fact = build_fact(enriched_batch, order)
-    if table_exists(spark, target):
-        stored = spark.read.parquet(target).select("trip_id", PARTITION_COLUMN)
-        fact = _partitioned(fact).join(stored, ["trip_id", PARTITION_COLUMN], "left_anti").select(*FACT_COLUMNS)
-    write_fact(fact, target, "append")
+    at = at or now()
+    FactTable(spark, target).insert(build_fact(stamped(enriched_batch, at), order), at)
     return target
+
+
+def load_ledger(spark: SparkSession, target: str) -> DataFrame:
+    """version, load, mode, loaded_at, rows_in, rows_added, rows_removed and
+    rows_total of each load, and rows_live: rows it brought that are still
+    in the fact."""
+    table = FactTable(spark, target)
+    live = table.read().groupBy(F.col("_loaded_at").alias("loaded_at")).agg(F.count(F.lit(1)).alias("rows_live"))
+    loads = table.loads().where("mode <> 'merge'")
+    return loads.join(live, "loaded_at", "left").select(*[c for c in loads.columns], F.coalesce("rows_live", F.lit(0)).alias("rows_live"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlane.functions.scalars import day_of_week0, exact_avg, exact_parts, exact_sum, hour_of_key, round2, time_key, total_of
+from starlane.functions.scalars import SUM_PARTS, day_of_week0, exact_avg, exact_parts, exact_sum, hour_of_key, round2, time_key, total_of
 
 
 # A mart measure: (output name, "sum" | "avg", fact column).
@@ -45,21 +45,21 @@ def _merge(partials: DataFrame, keys: list, measures: list[Measure]) -> DataFram
     return partials.groupBy(*keys).agg(
         F.sum("_n").alias("_n"),
         F.sum("_pax").alias("_pax"),
-        *[F.sum(f"_{part}_{c}").alias(f"_{part}_{c}") for c in cols for part in ("whole", "rest", "other", "c")],
+        *[F.sum(f"_{part}_{c}").alias(f"_{part}_{c}") for c in cols for part in (*SUM_PARTS, "c")],
     )
 
 
 def _output(merged: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
     """Final columns from one row of sums per key: rounded sums and averages."""
+    cols = sorted({c for _, _, c in measures})
+    # Sums first, as columns: rounding names its operand several times.
+    totals = [total_of(**{part: F.col(f"_{part}_{c}") for part in SUM_PARTS}).alias(f"_sum_{c}") for c in cols]
+    sums = merged.select(*keys, "_n", "_pax", *[f"_c_{c}" for c in cols], *totals)
     out = []
     for name, kind, c in measures:
-        total = total_of(*[F.col(f"_{part}_{c}") for part in ("whole", "rest", "other")])
-        if kind == "sum":
-            out.append(round2(total).alias(name))
-        else:
-            n = F.col(f"_c_{c}")
-            out.append(round2(F.when(n > 0, total / n)).alias(name))
-    return merged.select(*keys, F.col("_n").alias("total_trips"), F.col("_pax").alias("total_passengers"), *out)
+        n, total = F.col(f"_c_{c}"), F.col(f"_sum_{c}")
+        out.append(round2(total if kind == "sum" else F.when(n > 0, total / n)).alias(name))
+    return sums.select(*keys, F.col("_n").alias("total_trips"), F.col("_pax").alias("total_passengers"), *out)
 
 
 DAILY_MEASURES: list[Measure] = [

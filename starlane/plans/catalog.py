@@ -507,6 +507,70 @@ def q_incremental_upsert(m: TripModel) -> DataFrame:
     return read_fact(m.spark, target).select(*FACT_OUT)
 
 
+@register(
+    "load_ledger",
+    W(
+        *O.CHAIN,
+        "b1 as (select * from enriched where pickup_datetime < timestamp '1998-07-01')",
+        "b2 as (select * from enriched where pickup_datetime >= timestamp '1998-01-01')",
+        O.fact_from("b1", "f1"),
+        "b2n as (select * from b2 where pickup_datetime > (select max(pickup_datetime) from f1))",
+        O.fact_from("b2n", "f2"),
+        O.fact_from("b2", "f3"),
+        """counts as (select (select count(*) from f1) as a, (select count(*) from f2) as n, (select count(*) from f3) as c,
+          (select count(*) from f1 where trip_id in (select trip_id from f3)) as gone)""",
+    )
+    + """select 1::bigint as version, 'full' as mode, a as rows_in, a as rows_added, 0::bigint as rows_removed, a as rows_total,
+      a - gone as rows_live, 0::bigint as stray_rows from counts
+    union all select 2, 'append', n, n, 0, a + n, 0, 0 from counts
+    union all select 3, 'append', 0, 0, 0, a + n, 0, 0 from counts
+    union all select 4, 'upsert', c, c, gone + n, a - gone + c, c, 0 from counts""",
+)
+def q_load_ledger(m: TripModel) -> DataFrame:
+    """What each load brought, took out and still has in the fact: a first load,
+    an appended batch, the same again (adds nothing), an upsert over both; and
+    the rows whose load time is no load's."""
+    from starlane.operators.incremental import load_incremental, load_ledger, read_fact
+
+    target = scratch_path(m.spark, "fact-ledger")
+    pu = F.col("pickup_datetime")
+    batch = m.enriched.where(pu >= _pu("1998-01-01"))
+    load_incremental(m.spark, target, m.enriched.where(pu < _pu("1998-07-01")), "append")
+    for mode in ("append", "append", "upsert"):
+        load_incremental(m.spark, target, batch, mode)
+    ledger = load_ledger(m.spark, target)
+    known = ledger.select(F.col("loaded_at").alias("_loaded_at"))
+    stray = read_fact(m.spark, target).join(known, "_loaded_at", "left_anti").count()
+    columns = ["version", "mode", "rows_in", "rows_added", "rows_removed", "rows_total", "rows_live"]
+    return ledger.select(*columns, F.lit(stray).cast("long").alias("stray_rows"))
+
+
+@register(
+    "exact_sums_wide",
+    """
+    with v as (select l_returnflag, l_linestatus, (l_orderkey * 8 + l_linenumber) % 16777216 as k from lineitem)
+    select l_returnflag, l_linestatus, 3 * count(*) as n_values, sum(k % 1000 + 1)::bigint as small_units, sum(k % 1000 + 1)::bigint as left_units
+    from v group by l_returnflag, l_linestatus
+    """,
+)
+def q_exact_sums_wide(m: TripModel) -> DataFrame:
+    """Sums of values from 1e-12 to 1e16: the large ones cancel, and what is left
+    is the small ones' sum to the last unit (2^-40)."""
+    from starlane.functions.scalars import exact_sum
+    from starlane.sources.tables import read_table
+
+    k = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) % 16777216
+    large, small = k * F.lit(2.0**30), (k % 1000 + 1) * F.lit(2.0**-40)
+    rows = read_table(m.spark, m.sf_dir, "lineitem").select("l_returnflag", "l_linestatus", F.explode(F.array(large, -large, small)).alias("v"))
+    units = lambda x: F.rint(x * F.lit(2.0**40)).cast("long")
+    sums = rows.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count("v").alias("n_values"),
+        exact_sum(F.when(F.abs("v") < 1, F.col("v"))).alias("small_sum"),
+        exact_sum("v").alias("all_sum"),
+    )
+    return sums.select("l_returnflag", "l_linestatus", "n_values", units(F.col("small_sum")).alias("small_units"), units(F.col("all_sum")).alias("left_units"))
+
+
 @register("full_refresh", W(*O.FACT_CHAIN) + f"select {O.FACT_COLS} from fact")
 def q_full_refresh(m: TripModel) -> DataFrame:
     """A partial load, then a full refresh that rebuilds from all trips."""

@@ -8,7 +8,7 @@ written marts (read back, so it reports on what was stored).
 from __future__ import annotations
 
 from starlane.operators import checks
-from starlane.operators.incremental import PARTITION_COLUMN
+from starlane.operators.incremental import read_fact
 from starlane.plans.layers import Layout
 from starlane.plans.trips import TripModel
 
@@ -17,7 +17,7 @@ MART_TABLES = ("mart_daily_summary", "mart_hourly_patterns", "mart_zone_performa
 
 def refresh_marts(model: TripModel, layout: Layout) -> dict[str, str]:
     spark = model.spark
-    fact = layout.read(spark, "facts", "fct_trips").drop(PARTITION_COLUMN)
+    fact = read_fact(spark, layout.path("facts", "fct_trips"))
     paths = {
         "mart_daily_summary": layout.write(model.daily(fact), "marts", "mart_daily_summary"),
         "mart_hourly_patterns": layout.write(model.hourly(fact), "marts", "mart_hourly_patterns"),

@@ -4,6 +4,7 @@ scan and sample slices (SC1, SC2, SC9-SC12)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -154,52 +155,72 @@ def _shape(schema: T.StructType) -> str:
     return ",".join(sorted(f"{f.name.lower()}:{f.dataType.simpleString()}" for f in schema.fields))
 
 
-def _footers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
-    """(path, Arrow schema as text) of each file, read by tasks: one job however many files."""
-    import pandas as pd
+# Footers that are read at the same time.
+FOOTER_READERS = 16
 
-    def read(batches):
-        import pyarrow.dataset as ds
-        from pyarrow import fs
 
-        for batch in batches:
-            out = []
-            for p in batch["path"]:
-                system, local = fs.FileSystem.from_uri(p if "://" in p or p.startswith(("file:", "/")) else f"file://{p}")
-                fields = ds.dataset(local, filesystem=system, format="parquet").schema
-                out.append(",".join(sorted(f"{f.name.lower()}:{f.type}" for f in fields)))
-            yield pd.DataFrame({"path": batch["path"], "shape": out})
+def _schemas(spark: SparkSession, paths: Sequence[str]) -> list[T.StructType]:
+    """The schema of each path, from one footer, by Spark's own reader: any
+    store that Spark opens, several at a time."""
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        return list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
 
-    table = spark.createDataFrame([(p,) for p in paths], "path string")
-    tasks = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
-    return [tuple(r) for r in table.repartition(tasks).mapInPandas(read, "path string, shape string").collect()]
+
+def _reader_widens(have: T.DataType, want: T.DataType) -> bool:
+    """Whether Spark's Parquet reader itself gives ``have`` as ``want``, without loss."""
+    if have == want:
+        return True
+    x, y = have.simpleString(), want.simpleString()
+    if isinstance(have, T.DecimalType) and isinstance(want, T.DecimalType):
+        return want.scale >= have.scale and want.precision - want.scale >= have.precision - have.scale
+    whole = ("tinyint", "smallint", "int")
+    return (x in whole and y in ("int", "bigint", "double")) or (x, y) in (("float", "double"), ("date", "timestamp_ntz"))
+
+
+def _lossless(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Cast; a bigint that no double equals is an error, not another number."""
+    if not (isinstance(have, T.LongType) and isinstance(want, T.DoubleType)):
+        return c.cast(want)
+    near = c.cast("double")
+    same = c.isNull() | (c.cast("decimal(20,0)") == near.cast("decimal(20,0)"))
+    lost = F.raise_error(F.concat(F.lit("no double holds "), c.cast("string"))).cast("double")
+    return F.when(same, near).otherwise(lost)
 
 
 def scan_feed(spark: SparkSession, paths: Sequence[str], target: T.StructType | None = None) -> DataFrame:
     """Read feed files whose column types drift between files.
 
     One multi-file read fails when a column is double in one month and
-    bigint in another, and so does ``mergeSchema``. So files are grouped by
-    their schema (footers only, read in one distributed job), each group is
-    read in one scan and cast to ``target`` (default: for each column the
-    narrowest type that holds every group's values), and the groups are
-    unioned by name, case-insensitively. The plan has one scan per distinct
-    schema, not per file.
+    bigint in another, and so does ``mergeSchema``. So each file's schema is
+    read first (footers only) and ``target`` found (default: for each column
+    the narrowest type that holds every file's values). All files whose types
+    the Parquet reader itself widens to it are one scan under that declared
+    schema; files of other types are one scan for each distinct schema, cast.
+    Columns are matched by name, case-insensitively; a column that a file
+    lacks is null there. Beside doubles a bigint becomes a double; one that no
+    double equals (some above 2^53) ends the read with an error.
     """
     if not paths:
         raise ValueError("no files to scan")
-    groups: dict[str, list[str]] = {}
-    for path, shape in sorted(_footers(spark, paths)):
-        groups.setdefault(shape, []).append(path)
-    frames = [spark.read.parquet(*some) for some in groups.values()]
+    found = list(zip(paths, _schemas(spark, paths)))
     if target is None:
-        target = _holding_all([df.schema for df in frames])
+        target = _holding_all([schema for _, schema in found])
     wanted = {f.name.lower(): f for f in target.fields}
-    parts = []
-    for df in frames:
-        have = {f.name.lower(): f.name for f in df.schema.fields}
+    widened: list[str] = []
+    groups: dict[str, list[tuple[str, T.StructType]]] = {}
+    for path, schema in found:
+        if all(_reader_widens(f.dataType, wanted[f.name.lower()].dataType) for f in schema.fields if f.name.lower() in wanted):
+            widened.append(path)
+        else:
+            groups.setdefault(_shape(schema), []).append((path, schema))
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in target.fields])
+    parts = [spark.read.schema(nullable).parquet(*widened)] if widened else []
+    for some in groups.values():
+        have = {f.name.lower(): f for f in some[0][1].fields}
+        df = spark.read.schema(some[0][1]).parquet(*[p for p, _ in some])
         cols = [
-            (F.col(f"`{have[n]}`") if n in have else F.lit(None)).cast(f.dataType).alias(f.name) for n, f in wanted.items()
+            (_lossless(F.col(f"`{have[n].name}`"), have[n].dataType, f.dataType) if n in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for n, f in wanted.items()
         ]
         parts.append(df.select(*cols))
     out = parts[0]

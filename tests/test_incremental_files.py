@@ -1,3 +1,4 @@
+import uuid
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -156,3 +157,38 @@ def test_scan_feed_widens_without_loss_in_any_order(spark, tmp_dir):
         second.write.mode("overwrite").parquet(f"{tmp_dir}/p2")
         got = scan_feed(spark, [f"{tmp_dir}/p1", f"{tmp_dir}/p2"])
         assert sorted((r.n, str(r.d), r.t or "") for r in got.collect()) == [(0.5, "1.2599", "text"), (16777217.0, "1.2500", "")]
+
+
+@pytest.fixture()
+def far(spark, tmp_dir):
+    """The folder under a path that only Spark's own readers open."""
+    mount = f"far{uuid.uuid4().hex[:8]}"  # open file systems are kept by name
+    spark._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{mount}.link./in", f"file://{tmp_dir}")
+    return f"viewfs://{mount}/in"
+
+
+def test_feeds_are_scanned_by_any_path_that_spark_reads(spark, tmp_dir, far):
+    raw(spark, [dict(RatecodeID=2.0)]).write.parquet(f"{tmp_dir}/a.parquet")
+    raw(spark, [dict()]).withColumn("RatecodeID", F.lit(3).cast("bigint")).write.parquet(f"{tmp_dir}/b.parquet")
+    raw(spark, [dict()]).withColumn("RatecodeID", F.lit(4).cast("int")).drop("Airport_fee").write.parquet(f"{tmp_dir}/c.parquet")
+    df = scan_feed(spark, [f"{far}/{n}.parquet" for n in "abc"])
+    assert sorted(r.RatecodeID for r in df.collect()) == [2.0, 3.0, 4.0]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # int is widened by the reader, beside the doubles
+
+
+def test_a_fact_is_kept_under_any_path_that_spark_writes(spark, tmp_dir, far):
+    target = f"{far}/fact"
+    load_incremental(spark, target, trips(spark, [datetime(2024, 10, 1, 8)]), "upsert")
+    load_incremental(spark, target, trips(spark, [datetime(2024, 10, 1, 8), datetime(2024, 10, 2, 8)]), "upsert")
+    assert read_fact(spark, target).count() == 2 and high_water(spark, target) == datetime(2024, 10, 2, 8)
+
+
+def test_a_bigint_that_no_double_holds_is_not_changed_in_silence(spark, tmp_dir):
+    spark.sql("select 9007199254740993L as n").write.parquet(f"{tmp_dir}/p1")
+    spark.sql("select 0.5D as n").write.parquet(f"{tmp_dir}/p2")
+    with pytest.raises(Exception, match="no double holds 9007199254740993"):
+        scan_feed(spark, [f"{tmp_dir}/p1", f"{tmp_dir}/p2"]).collect()
+    spark.sql("select 9007199254740992L as n union all select null").write.parquet(f"{tmp_dir}/p3")
+    rows = scan_feed(spark, [f"{tmp_dir}/p3", f"{tmp_dir}/p2"]).collect()
+    assert sorted(r.n for r in rows if r.n is not None) == [0.5, 9007199254740992.0] and len(rows) == 3

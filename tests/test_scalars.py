@@ -128,3 +128,43 @@ def test_double_text_is_the_reference_engines(spark):
     values += [float("nan"), float("inf"), float("-inf")]
     df = spark.createDataFrame([(v,) for v in values], "x double").select(double_text("x"))
     assert [r[0] for r in df.collect()] == [duckdb.execute("select ?::double::varchar", [v]).fetchall()[0][0] for v in values]
+
+
+def test_exact_sums_drop_nothing_and_do_not_overflow(spark):
+    import math
+    import random
+
+    from starlane.functions.scalars import exact_avg, exact_sum
+
+    r = random.Random(1)
+    groups = {
+        0: [1e-11] * 1000, 1: [9e8] * 100, 2: [1e16, -1e16, 3e-13], 3: [0.1] * 10, 4: [-0.1] * 10, 5: [1e300, 1.0], 6: [1e-200] * 5,
+        7: [r.uniform(-1, 1) * 10 ** r.randint(-12, 12) for _ in range(3000)], 8: [None], 9: [0.0, -0.0], 10: [1.0, -1.0],
+        11: [-4e15, 2.0**-70], 12: [float("inf"), 1.0], 13: [3e16] * 50, 14: [12.34, 19.07], 15: [2.0**53 + 2, 0.25, -0.5],
+    }
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    r.shuffle(rows)
+    seen = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "k int, v double").repartition(parts)
+        got = {x.k: (x.s, x.a) for x in df.groupBy("k").agg(exact_sum("v").alias("s"), exact_avg("v").alias("a")).collect()}
+        for k, values in groups.items():
+            known = [v for v in values if v is not None]
+            want = math.fsum(known) if known else None
+            if want is None:
+                assert got[k] == (None, None)
+            else:  # to the last place of the sum, or 1e-18 a value
+                near = lambda a, b: a == b or math.isclose(a, b, rel_tol=3e-16, abs_tol=1e-18 * len(known))
+                assert near(got[k][0], want) and near(got[k][1], want / len(known)), (k, got[k], want)
+        seen.append(got)
+    assert seen[0] == seen[1]
+    assert got[14] == (31.41, 15.705)  # the decimals that the doubles stand for
+    nan = spark.createDataFrame([(float("nan"),), (1.0,)], "v double").agg(exact_sum("v")).first()[0]
+    assert math.isnan(nan)
+
+
+def test_exact_sums_hold_many_large_values(spark):
+    from starlane.functions.scalars import exact_sum
+
+    got = spark.range(0, 20_000_000, 1, 4).select(exact_sum((F.col("id") % 2 + 9e8).cast("double"))).first()[0]
+    assert got == 20_000_000 * 9e8 + 10_000_000
