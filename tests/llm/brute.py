@@ -82,7 +82,8 @@ def edits_within(a: str, b: str, most: int) -> bool:
     return row.get(len(b), 99) <= most
 
 
-def line_dedup(docs: list[tuple[int, str | None]], edits: int = 2, min_chars: int = 20) -> list[tuple]:
+def line_dedup(docs: list[tuple[int, str | None]], edits: int = 2, min_chars: int = 20, chars_per_edit: int = 20) -> list[tuple]:
+    """One edit for each ``chars_per_edit`` characters of the longer line, at least ``edits``."""
     first: dict[str, tuple] = {}
     for d, t in sorted(docs, key=lambda x: x[0]):
         for i, x in enumerate((t or "").split("\n")):
@@ -95,9 +96,10 @@ def line_dedup(docs: list[tuple[int, str | None]], edits: int = 2, min_chars: in
     near = set()
     for n, same in list(by_length.items()):
         for a in same:
-            for m in range(n, n + edits + 1):
+            # Only lines up to m = n + m / chars_per_edit characters can be near.
+            for m in range(n, n + max(edits, n // (chars_per_edit - 1)) + 1):
                 for b in by_length.get(m, []):
-                    if a != b and edits_within(a, b, edits):
+                    if a != b and edits_within(a, b, max(edits, m // chars_per_edit)):
                         near.add(max(a, b, key=first.__getitem__))
     out = []
     for d, t in docs:
