@@ -346,6 +346,32 @@ def test_line_dedup_allows_more_edits_in_longer_lines(spark):
     assert {row.doc_id for row in found} == near
 
 
+def test_line_dedup_ends_on_very_long_lines(spark):
+    """A line of 200,000 characters, two near ones of 30,000 in which every 25th character differs, and one beyond."""
+    import random
+    import time
+
+    r = random.Random(9)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    base = text(30_000)
+    changed = lambda x, step: "".join("Z" if i % step == 7 else c for i, c in enumerate(x))
+    rows = [(1, text(200_000)), (2, base), (3, changed(base, 25) + "tail"), (4, changed(base[5:], 15)), (5, text(50_000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    start = time.time()
+    found = {r.doc_id: r["__removed"] for r in line_dedup.deduplicated(spark, docs).collect()}
+    assert found == {1: 0, 2: 0, 3: 1, 4: 0, 5: 0}
+    assert time.time() - start < 60
+
+
+def test_line_dedup_passes_columns_of_any_name(spark):
+    line = "a line of some twenty and more characters"
+    names = ["__new", "__key", "old", "lines", "removed", "row", "a.b", "id", "stay"]
+    docs = spark.createDataFrame([(1, line, *names), (2, line + "!\nanother", *names)], ["doc_id", "text", *names])
+    rows = line_dedup.without_near_lines(spark, docs)
+    assert rows.columns == docs.columns
+    assert sorted(map(tuple, rows.collect())) == [(1, line, *names), (2, "another", *names)]
+
+
 def test_frequent_lines_are_taken_out(spark):
     rows = [(i, f"All rights reserved  here\nown line number {i} of this document", "h") for i in range(40)]
     rows += [(100 + i, "copied line of text", "h") for i in range(40)]  # copies: one text
