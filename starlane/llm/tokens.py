@@ -1,23 +1,25 @@
 """Token ids of whole texts by a public tokenizer file, in Arrow batches.
 
 The tokenizers library encodes. Texts are cut where the tokenizer cuts anyway,
-in front of a space that a visible character follows, and the ids of each
-distinct piece are kept, as most pieces of a corpus are repeats. A piece that
-is a word of letters and a tail of punctuation is two tokenizer words; plain
-words go straight to the tokenizer's model. Which of these hold for a
-tokenizer is probed on it. A text with other white space next to a space, or
-with the string of an added token (<|endoftext|>), is encoded whole.
+in front of a space that a visible character follows. A batch's distinct pieces
+are found by Arrow; the new ones go to the library in one call, and the ids of
+all are gathered by index. Where probes show that runs of letters and of marks
+are tokenizer words, a piece of such runs gets theirs, and runs of letters go
+straight to the tokenizer's model. A text with
+white space after a space, or with the string of an added token
+(<|endoftext|>), is encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,15 +27,20 @@ from starlane.llm.common import text_or_empty
 from starlane.llm.shingles import slices
 
 END_ID = 0
-# Distinct pieces a worker remembers, in each of two generations: when the
-# newer one is full it becomes the older, and what is used again moves up.
-CACHE_PIECES = 120_000
-# Longer pieces are encoded but not remembered.
-PIECE_CHARS = 64
-
-# A space that no visible character follows: leave such texts to the library.
-_ODD_SPACE = re.compile(r" (?=\s|$)")
-_TAIL = ".,;:!?$%&*#|"
+# Distinct pieces a worker remembers; beyond them it starts anew.
+CACHE_PIECES = 400_000
+# Bytes of text whose distinct pieces are looked up at once; a longer text is a
+# slice of its own.
+BATCH_BYTES = 4 << 20
+
+# Runs of Latin letters that no normalisation but the lower case touches (all
+# up to U+024F but the dotted capital I, which turns into two characters), and
+# of marks: such runs are tokenizer words. _END and _SPLIT separate pieces.
+_MARKS = ".,;:!?$%&*#|"
+_LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+_END, _SPLIT = "\x00", "\x01"
+_RUNS = re.compile(rf" ?[{_LATIN}]+| ?[{_MARKS}]+|\n|{_END}")
+_PLAIN = re.compile(rf" ?[{_LATIN}{_MARKS}]+(?:\n[{_LATIN}{_MARKS}]+)*")
 _PROBES = ("a", "the", "Zebra", "ouath", "thinginon", "ing", "qzx", "WORD", "êtreÉ", "straße", "ñandú", "ÿœĂ")
 
 
@@ -45,6 +52,41 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+_LETTERS = _byte_letters()
+
+
+class _Pool:
+    """Ids of remembered strings: their runs in one array that grows by doubling."""
+
+    def __init__(self, dtype: np.dtype) -> None:
+        self.at: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, dtype), 0
+        self.starts, self.counts = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def add(self, names: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        known = len(self.at)
+        self.at.update(zip(names, range(known, known + len(names))))
+        while len(self.flat) < self.used + len(ids):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while len(self.starts) < known + len(names):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[known : known + len(names)] = self.used + np.cumsum(counts) - counts
+        self.counts[known : known + len(names)] = counts
+        self.used += len(ids)
+
+    def places(self, names: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.at.__getitem__, names), np.int64, len(names))
+
+    def runs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of strings one after another, and how many each has."""
+        counts = self.counts[at]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.starts[at] - (ends - counts), counts) + np.arange(total)], counts
+
+
 class PieceEncoder:
     """Ids of texts as little-endian bytes, one width for all."""
 
@@ -54,74 +96,111 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         # The library reads an added token's string in a text as that token.
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        strange = [r" (?:\s|$)", _SPLIT, *map(re.escape, self.added)]
+        self.strange = re.compile("|".join(strange))
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.letters = _byte_letters()
         whole = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
-        # What the tokenizer does to spaces and case, and whether its model
-        # alone gives the ids of a plain word.
+        # What the tokenizer does to spaces and case, whether its model alone
+        # gives the ids of a run of letters, and whether runs stand alone.
         self.drops_space = all(whole(" " + p) == whole(p) for p in _PROBES)
         self.drops_case = all(whole(p.upper()) == whole(p.upper().lower()) for p in _PROBES)
-        self.plain = all(self._model(" " * k + p) == whole(" " * k + p) for p in _PROBES for k in (0, 1))
-        self.tails = all(whole(p + t) == whole(p) + whole(t) for p in _PROBES for t in (*_TAIL, "...", "$$$", "!!", ".%%%"))
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}  # after a space
-        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
-
-    def _model(self, word: str) -> list[int]:
+        self.plain = all(self._model([" " * k + p])[0] == whole(" " * k + p) for p in _PROBES for k in (0, 1))
+        mixed = [x for p in _PROBES for t in (*_MARKS, "...", "$$$", "!!", ".%%%") for x in (f"{p}{t}{p}\n{p}", f" {t}{p}\n{t}", f" {p}{t}")]
+        self.apart = all(whole(x) == list(chain.from_iterable(map(whole, _RUNS.findall(x)))) for x in mixed)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.pieces = _Pool(self.dtype), _Pool(self.dtype)
+        self.words.add([_END], np.zeros(0, self.dtype), np.zeros(1, np.int64))
+
+    def _model(self, words: list[str]) -> list[list[int]]:
+        """Ids of runs of letters by the tokenizer's model alone, which reads
+        their bytes as letters; all are turned into these at once."""
+        text = "\n".join(words)
         if self.drops_space:
-            word = word.lstrip(" ")
+            text = text.replace(" ", "")
         if self.drops_case:
-            word = word.lower()
-        return [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-
-    def _is_plain(self, word: str) -> bool:
-        """Latin letters that no normalisation but the lower case touches."""
-        word = word.lstrip(" ")
-        return word.isalpha() and max(word) < "\u0250" and (word.isascii() or word.lower().isalpha())
-
-    def _word(self, word: str) -> bytes:
-        found = self.words.get(word) or self.older[0].get(word)
-        if found is None:
-            plain = self.plain and self._is_plain(word)
-            found = self._bytes(self._model(word) if plain else self.tokenizer.encode(word, add_special_tokens=False).ids)
-        if len(word) < PIECE_CHARS:
-            self.words[word] = found
-        return found
-
-    def _piece(self, piece: str, space: str) -> bytes:
-        core = piece.rstrip(_TAIL)
-        if self.tails and core.isalpha():
-            found = self._word(space + core)
-            return found + self._word(piece[len(core) :]) if len(core) < len(piece) else found
-        return self._word(space + piece)
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        out = []
-        later = self.pieces
-        for t in texts:
-            if _ODD_SPACE.search(t) or any(a in t for a in self.added):
-                out.append(self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids))
-                continue
-            head, *rest = t.split(" ")
-            new = set(rest).difference(later)
-            if len(later) + len(new) > CACHE_PIECES or len(self.words) > CACHE_PIECES:
-                self.older = self.words, later
-                self.words, self.pieces = {}, {}
-                later, new = self.pieces, set(rest)
-            older = self.older[1]
-            space = "" if self.drops_space else " "
-            own = {p: older.get(p) or self._piece(p, space) for p in new}
-            long = any(len(p) >= PIECE_CHARS for p in new)
-            if long:
-                later.update((p, x) for p, x in own.items() if len(p) < PIECE_CHARS)
-                out.append(self._piece(head, "") + b"".join([later[p] if p in later else own[p] for p in rest]))
-            else:
-                later.update(own)
-                out.append(self._piece(head, "") + b"".join([later[p] for p in rest]))
-        return out
+            text = text.lower()
+        spelled = text.encode().decode("latin-1").translate(_LETTERS).split(_LETTERS[ord("\n")])
+        tokenize = self.tokenizer.model.tokenize
+        return [[t.id for t in tokenize(w)] for w in spelled] if words else []
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self._flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def _flat(self, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), self.dtype, int(counts.sum())), counts
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Remember the ids of new pieces: plain ones from those of their runs."""
+        odd = pieces
+        if self.apart:
+            plain = [p for p in pieces if _PLAIN.fullmatch(p)]
+            odd = list(set(pieces).difference(plain))
+            runs = _RUNS.findall(_END.join([*plain, ""]))
+            new = set(runs).difference(self.words.at)
+            letters = [w for w in new if self.plain and w[-1].isalpha()]
+            self.words.add(letters, *self._flat(self._model(letters)))
+            others = list(new.difference(letters))
+            self.words.add(others, *self._library(others))
+            at = self.words.places(runs)
+            ids, counts = self.words.runs(at)
+            ends = np.flatnonzero(at == self.words.at[_END])
+            sums = np.concatenate([[0], np.cumsum(counts)])
+            self.pieces.add(plain, ids, np.diff(sums[ends], prepend=0))
+        self.pieces.add(odd, *self._library(odd))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and how many each has."""
+        if len(self.pieces.at) > CACHE_PIECES or len(self.words.at) > CACHE_PIECES:
+            self._forget()
+        whole = texts.to_pylist()
+        odd = [i for i, t in enumerate(whole) if self.strange.search(t)]
+        if odd:
+            keep = np.ones(len(texts), bool)
+            keep[odd] = False
+            plain = texts.filter(pa.array(keep))
+            ids, counts = self._library(texts.take(pa.array(odd)).to_pylist())
+            more, sizes = self.encode(plain) if len(plain) else (np.zeros(0, self.dtype), np.zeros(0, np.int64))
+            return _interleaved(keep, (more, sizes), (ids, counts))
+        # The space that a piece begins with is put back in front of it; the
+        # first piece of a text has none.
+        lists = pc.split_pattern(texts.cast(pa.string()), " ")
+        offsets = np.asarray(lists.offsets, np.int64)
+        offsets = offsets - offsets[0]
+        found = lists.flatten().dictionary_encode()
+        places = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        pieces = pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), found.dictionary)
+        held = (" " + pc.binary_join(pieces, _SPLIT + " ")[0].as_py()).split(_SPLIT) if len(found.dictionary) else []
+        heads = [t.split(" ", 1)[0] for t in whole]
+        new = list({*held, *heads}.difference(self.pieces.at))
+        if new:
+            self._learn(new)
+        at = self.pieces.places(held)[places]
+        at[offsets[:-1]] = self.pieces.places(heads)
+        ids, counts = self.pieces.runs(at)
+        ends = np.concatenate([[0], np.cumsum(counts)])[offsets]
+        return ids, np.diff(ends)
+
+    def ids(self, texts: pa.Array, end: int) -> pa.Array:
+        """The ids of each text and ``end``, as bytes."""
+        flat, counts = self.encode(texts)
+        stops = np.cumsum(counts)
+        flat = np.insert(flat, stops, end).astype(self.dtype, copy=False)
+        offsets = np.concatenate([[0], stops + np.arange(1, len(texts) + 1)]) * self.dtype.itemsize
+        buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(flat.tobytes())]
+        return pa.Array.from_buffers(pa.binary(), len(texts), buffers)
+
+
+def _interleaved(first: np.ndarray, one: tuple, two: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Runs (ids, counts) of two lists of texts in the order that ``first`` gives."""
+    counts = np.zeros(len(first), np.int64)
+    counts[first], counts[~first] = one[1], two[1]
+    from_one = np.repeat(first, counts)
+    ids = np.empty(len(from_one), one[0].dtype)
+    ids[from_one], ids[~from_one] = one[0], two[0]
+    return ids, counts
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -147,12 +226,11 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        end = np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
-            for part in slices(batch):
-                ids = [b + end for b in enc.ids(part.column("text").to_pylist())]
+            for part in slices(batch, size=BATCH_BYTES):
+                ids = enc.ids(part.column("text"), end_id)
                 width = pa.array([enc.dtype.itemsize] * len(ids), pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), width, pa.array(ids, pa.binary())], ["doc_id", "width", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), width, ids], ["doc_id", "width", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(run, "doc_id long, width int, ids binary")

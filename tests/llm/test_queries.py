@@ -109,6 +109,26 @@ def test_added_tokens_are_encoded_as_the_library_does(spark, name):
     assert found == {i: library.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_are_encoded_as_the_library_does(name):
+    """Texts of odd spaces, combining marks, ligatures, controls and plain words, in any mixture."""
+    import random
+
+    import pyarrow as pa
+
+    from starlane.llm.tokens import PieceEncoder
+
+    r = random.Random(3)
+    parts = [*" " * 9, "a", "B", "the", "The", "'s", "'", "\u2019", "\n", "\t", "\u00e9", "e\u0301", "\ufb01", "1", "23", ".", ",", "!!", "$", "#", "日本"]
+    parts += ["😀", "\u00a0", "\u2003", "<|endoftext|>", "\u0130", "\u017f", "ÿ", "Ă", "-", "_", "\r", "\x0b", "\u200b", "x", "\x00", "\x01", "\u0307"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(8000)]
+    encoder = PieceEncoder(tokenizer_path(name))
+    for i in range(0, len(texts), 1000):  # later batches meet remembered pieces
+        found = encoder.ids(pa.array(texts[i : i + 1000]), 0).to_pylist()
+        want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in texts[i : i + 1000]]
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in found] == want
+
+
 def test_huffman_corpus_in_small_blocks(spark, odd, tmp_path):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     path = str(tmp_path / "coded")
