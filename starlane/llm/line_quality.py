@@ -1,10 +1,11 @@
 """Quality rules [native]: cross-document line frequency.
 
 Lines are normalised (case and outer and inner white space) and hashed; per
-host, the distinct texts that hold a line are counted. A line in more texts
-than the limits is boilerplate and is removed; a document that loses too
-much of its words is rejected. Exact copies of a text count once, so a text
-is not boilerplate for being copied.
+host, the distinct documents that hold a line are counted. A line in more
+documents than the limit is boilerplate and is removed, however large its
+host; a document that loses too much of its words is rejected. Documents of
+one text on a host are one document here, so a text is not boilerplate for
+being copied.
 
 Defined cases: a null text has no words and fails the base rules; a null
 host is a host of its own; rows sharing a doc_id are judged each by its own
@@ -18,10 +19,9 @@ from pyspark.sql import functions as F
 
 from starlane.llm.common import WORD_PATTERN, text_or_empty, word_count
 
-# A line is boilerplate on a host if more than MIN_TEXTS distinct texts hold
-# it and they are more than MAX_SHARE of the host's distinct texts.
-MIN_TEXTS = 20
-MAX_SHARE = 0.02
+# A line is boilerplate on a host if more than MAX_DOCS distinct documents of it
+# hold it. The one limit is the same on hosts of every size.
+MAX_DOCS = 20
 # A document is depleted when more than this share of its words goes.
 MAX_LOST = 0.5
 
@@ -66,28 +66,23 @@ def normal_line(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")))
 
 
-def frequent_lines(docs: DataFrame, host: str = "source", min_texts: int = MIN_TEXTS, max_share: float = MAX_SHARE) -> DataFrame:
-    """host, line hash, texts: lines above both limits on their host.
+def frequent_lines(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS) -> DataFrame:
+    """host, line hash, documents: lines above the limit on their host.
 
-    Distinct (host, line, text) first, counts after: a very frequent line is
-    spread over its texts before it meets in one counter.
+    Distinct (host, line, document) first, counts after: a very frequent line
+    is spread over its documents before it meets in one counter.
     """
     text = text_or_empty()
-    held = docs.select(F.col(host).cast("string").alias("_host"), F.xxhash64(text).alias("_text_key"), text.alias("_t"))
-    sizes = held.groupBy("_host").agg(F.countDistinct("_text_key").alias("_texts"))
-    lines = held.select("_host", "_text_key", F.explode(F.split("_t", "\n")).alias("_line"))
-    lines = lines.where(_length_without(F.col("_line"), _SEPARATORS) > 0)
-    lines = lines.select("_host", "_text_key", F.xxhash64(normal_line(F.col("_line"))).alias("_hash"))
-    counts = lines.groupBy("_host", "_hash").agg(F.countDistinct("_text_key").alias("texts")).where(F.col("texts") > min_texts)
-    sizes = sizes.withColumnRenamed("_host", "_h")
-    out = counts.join(sizes, F.col("_host").eqNullSafe(F.col("_h"))).where(F.col("texts") > max_share * F.col("_texts"))
-    return out.select(F.col("_host").alias("host"), F.col("_hash").alias("line_hash"), "texts")
-
-
-def lost_words(docs: DataFrame, host: str = "source", min_texts: int = MIN_TEXTS, max_share: float = MAX_SHARE) -> DataFrame:
+    lines = docs.select(F.col(host).cast("string").alias("host"), F.xxhash64(text).alias("text_key"), F.explode(F.split(text, "\n")).alias("line"))
+    lines = lines.where(_length_without(F.col("line"), _SEPARATORS) > 0)
+    lines = lines.select("host", "text_key", F.xxhash64(normal_line(F.col("line"))).alias("line_hash"))
+    return lines.groupBy("host", "line_hash").agg(F.countDistinct("text_key").alias("documents")).where(F.col("documents") > max_docs)
+
+
+def lost_words(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS) -> DataFrame:
     """host, text_key, n_words_lost: words in removed lines, per distinct text that loses any."""
     text = text_or_empty()
-    boiler = frequent_lines(docs, host, min_texts, max_share)
+    boiler = frequent_lines(docs, host, max_docs)
     lines = docs.select(F.col(host).cast("string").alias("_host"), F.xxhash64(text).alias("_text_key"), F.posexplode(F.split(text, "\n")))
     lines = lines.select("_host", "_text_key", "pos", F.xxhash64(normal_line(F.col("col"))).alias("_hash"), word_count(F.col("col")).alias("_n"))
     lines = lines.where("_n > 0")
@@ -97,27 +92,26 @@ def lost_words(docs: DataFrame, host: str = "source", min_texts: int = MIN_TEXTS
     return hit.distinct().groupBy("host", "text_key").agg(F.sum("_n").alias("n_words_lost"))
 
 
-def without_frequent_lines(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
+def without_frequent_lines(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS) -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text."""
     text = text_or_empty()
-    boiler = frequent_lines(docs, host, **limits)
+    boiler = frequent_lines(docs, host, max_docs)
     per_text = docs.select(F.col(host).cast("string").alias("_host"), F.xxhash64(text).alias("_text_key"), F.posexplode(F.split(text, "\n")))
     per_text = per_text.withColumn("_hash", F.xxhash64(normal_line(F.col("col"))))
     on = per_text["_host"].eqNullSafe(boiler["host"]) & (per_text["_hash"] == boiler["line_hash"])
     gone = per_text.join(boiler, on).groupBy(F.col("_host").alias("_h"), F.col("_text_key").alias("_k"))
     gone = gone.agg(F.map_from_entries(F.collect_set(F.struct("pos", F.lit(True).alias("v")))).alias("_gone"))
-    rows = docs.withColumn("_key", F.xxhash64(text))
-    rows = rows.join(gone, rows[host].cast("string").eqNullSafe(gone["_h"]) & (rows["_key"] == gone["_k"]), "left")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.withColumn("text", F.col("row")["text"]).withColumn("key", F.xxhash64(text))
+    rows = rows.join(gone, F.col("row")[host].cast("string").eqNullSafe(F.col("_h")) & (F.col("key") == F.col("_k")), "left")
     left = F.filter(F.split("text", "\n"), lambda x, i: ~F.map_contains_key("_gone", i))
     new = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return rows.withColumn("text", new).select(*docs.columns)
+    return rows.select(*[(new if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
-def quality_rules(
-    docs: DataFrame, host: str = "source", min_texts: int = MIN_TEXTS, max_share: float = MAX_SHARE, max_lost: float = MAX_LOST
-) -> DataFrame:
+def quality_rules(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, max_lost: float = MAX_LOST) -> DataFrame:
     """doc_id, the base counts, base_failed, n_words_lost, kept per document."""
-    lost = lost_words(docs, host, min_texts, max_share)
+    lost = lost_words(docs, host, max_docs)
     d = docs.select("doc_id", F.col(host).cast("string").alias("_host"), F.col("text"), F.xxhash64(text_or_empty()).alias("_key"))
     d = base_counts(d).drop("text")
     on = d["_host"].eqNullSafe(lost["host"]) & (d["_key"] == lost["text_key"])

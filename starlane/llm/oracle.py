@@ -46,10 +46,8 @@ with d as (
   from (select doc_id, source, t, unnest(lines) as line from d)
 ), held as (
   select source, norm, count(distinct t) as texts from lines where n > 0 group by source, norm
-), hosts as (select source, count(distinct t) as texts from d group by source),
-boiler as (
-  select h.source, h.norm from held h join hosts s on h.source is not distinct from s.source
-  where h.texts > 20 and h.texts > 0.02 * s.texts
+), boiler as (
+  select source, norm from held where texts > 20
 ), lost as (
   select doc_id, sum(n)::bigint as n from lines l join boiler b on l.source is not distinct from b.source and l.norm = b.norm where l.n > 0 group by doc_id
 ), dups as (

@@ -396,7 +396,7 @@ def test_frequent_lines_are_taken_out(spark):
     rows = [(i, f"All rights reserved  here\nown line number {i} of this document", "h") for i in range(40)]
     rows += [(100 + i, "copied line of text", "h") for i in range(40)]  # copies: one text
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    found = {r.doc_id: r.text for r in line_quality.without_frequent_lines(docs, max_share=0.1).collect()}
+    found = {r.doc_id: r.text for r in line_quality.without_frequent_lines(docs).collect()}
     assert found[3] == "own line number 3 of this document" and found[100] == "copied line of text"
 
 
@@ -411,6 +411,22 @@ def test_quality_rules_keep_copies_and_reject_depleted(spark):
     assert found[50].kept and found[50].n_words_lost == 0
 
 
+def test_frequent_lines_do_not_hang_on_the_size_of_the_host(spark):
+    """A line of 21 documents goes and one of 20 stays, on a host of 50 and on one of 1,500."""
+    rows = []
+    for host, size in (("small", 50), ("large", 1500)):
+        for i in range(size):
+            lines = [f"own line {i}"] + ["in twenty-one"] * (i < 21) + ["in twenty"] * (i < 20)
+            rows.append((len(rows), "\n".join(lines), host, "x", "y"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _key string, row string")
+    found = {(r.host, r.documents) for r in line_quality.frequent_lines(docs).collect()}
+    assert found == {("small", 21), ("large", 21)}
+    out = line_quality.without_frequent_lines(docs)
+    assert out.columns == docs.columns
+    got = {r.doc_id: r for r in out.where("doc_id in (0, 50)").collect()}
+    assert all(got[i].text == "own line 0\nin twenty" and (got[i]._key, got[i].row) == ("x", "y") for i in (0, 50))
+
+
 def test_pipeline(spark, odd):
     """Each stage on its own input, against what the operator's tests establish."""
     for folder, rows in both(odd):
