@@ -120,11 +120,14 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFram
     # Repeated rows have equal keys; each key once, so the join adds none.
     plan = plan.where("_times > 0").groupBy("_d", "_src", "_k").agg(F.sort_array(F.collect_list("_times"), asc=False).alias("_times"))
     plan = materialize(spark, plan, "mix-plan")
-    rows = docs.withColumn("__key", F.xxhash64(text_or_empty())).withColumn("__nth", F.lit(1))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    doc_id, source = F.col("row")["doc_id"], F.col("row")["source"]
+    rows = rows.withColumn("key", F.xxhash64(F.coalesce(F.col("row")["text"].cast("string"), F.lit("")))).withColumn("nth", F.lit(1))
     if plan.where(F.size("_times") > 1).limit(1).count():
-        same = Window.partitionBy("doc_id", "source", "__key").orderBy(F.lit(0))
-        rows = rows.withColumn("__nth", F.row_number().over(same))
-    on = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_src")) & (F.col("__key") == F.col("_k"))
-    rows = rows.join(plan, on).where(F.col("__nth") <= F.size("_times"))
-    copies = F.sequence(F.lit(1), F.element_at("_times", F.col("__nth")))
-    return rows.withColumn("__copy", F.explode(copies)).select(*[F.col(f"`{c}`") for c in docs.columns])
+        # Rows of one key that differ elsewhere are told apart by all their columns.
+        same = Window.partitionBy(doc_id, source, "key").orderBy(F.to_json("row"))
+        rows = rows.withColumn("nth", F.row_number().over(same))
+    on = doc_id.eqNullSafe(F.col("_d")) & source.eqNullSafe(F.col("_src")) & (F.col("key") == F.col("_k"))
+    rows = rows.join(plan, on).where(F.col("nth") <= F.size("_times"))
+    copies = F.sequence(F.lit(1), F.element_at("_times", F.col("nth")))
+    return rows.select("row", F.explode(copies)).select(*[F.col("row")[c].alias(c) for c in docs.columns])

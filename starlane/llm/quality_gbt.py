@@ -213,32 +213,43 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows:
     return fit(x[order], y[order])
 
 
+def _mark(columns: list[str]) -> str:
+    """A beginning that no column's name has, for columns added beside them."""
+    mark = "__"
+    while any(c.lower().startswith(mark) for c in columns):
+        mark += "_"
+    return mark
+
+
 def scored(docs: DataFrame, model: Trees, keep: list[str] | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted per document; with ``keep`` those columns of ``docs`` and predicted."""
 
+    mark = _mark([] if keep is None else keep)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in S.slices(batch, "__text"):
-                score = model.scores(statistics(part.column("__text")))
+            for part in S.slices(batch, mark + "text"):
+                score = model.scores(statistics(part.column(mark + "text")))
                 columns = [part.column(c) for c in names]
                 predicted = pa.array((score >= 0.5).astype(np.int32), pa.int32())
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(score), predicted], [*names, "__score", "__predicted"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(score), predicted], [*names, mark + "score", mark + "predicted"])
 
     if keep is None:
-        rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), text_or_empty().alias("__text"))
+        rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), text_or_empty().alias(mark + "text"))
         names = ["doc_id", "held_out"]
     else:
-        rows = docs.select(*keep, text_or_empty().alias("__text"))
+        rows = docs.select(*[F.col(f"`{c}`") for c in keep], text_or_empty().alias(mark + "text"))
         names = list(keep)
-    fields = [f for f in rows.schema.fields if f.name != "__text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", __score double, __predicted int"
+    fields = [f for f in rows.schema.fields if f.name != mark + "text"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{mark}score` double, `{mark}predicted` int"
     out = rows.mapInArrow(run, schema)
     if keep is None:
-        return out.withColumnsRenamed({"__score": "score", "__predicted": "predicted"})
+        return out.withColumnsRenamed({mark + "score": "score", mark + "predicted": "predicted"})
     return out
 
 
 def accepted(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject."""
     model = train(spark, docs, labels, **options)
-    return scored(docs, model, docs.columns).where("__predicted = 1").select(*docs.columns)
+    rows = scored(docs, model, docs.columns)
+    return rows.where(F.col(f"{_mark(docs.columns)}predicted") == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

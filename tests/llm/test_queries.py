@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starlane.llm import huffman, line_dedup, line_quality, mixing, partenum, quality_gbt, substring
@@ -392,6 +393,17 @@ def test_line_dedup_passes_columns_of_any_name(spark):
     assert sorted(map(tuple, rows.collect())) == [(1, line, *names), (2, "another", *names)]
 
 
+def test_pipeline_stages_pass_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for name in ("__text", "__predicted", "_times", "row", "key", "nth", "col"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    for out in (quality_gbt.accepted(spark, docs, labels), mixing.mixed_documents(spark, docs)):
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in docs.columns[-7:])
+
+
 def test_frequent_lines_are_taken_out(spark):
     rows = [(i, f"All rights reserved  here\nown line number {i} of this document", "h") for i in range(40)]
     rows += [(100 + i, "copied line of text", "h") for i in range(40)]  # copies: one text
