@@ -20,7 +20,7 @@ first, its hub (a star, not all pairs). Where several components remain in a
 group, its nodes are compared across components, in blocks inside tasks: a
 parity bitmap of each set bounds the difference from below, and only pairs
 that pass it leave the task, to be verified on the full sets. No candidate is
-capped.
+capped. Groups are counted by aggregates, never by a window over one of them.
 
 Defined cases: null and empty texts have no shingles and link with nothing; a
 text shorter than a shingle has its words as the only one; rows with a null
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlane.llm import shingles as S
@@ -133,9 +133,9 @@ def signatures(
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """Parity of the shingles in each of 2^j >= size buckets: two sets differ
-    in at least as many shingles as their bitmaps in bits."""
-    n = max(64, 1 << int(len(hashes) - 1).bit_length()) if len(hashes) else 64
+    """Parity of the shingles in each of 2^j >= 4 * size buckets: two sets differ
+    in at least as many shingles as their bitmaps in bits, and in hardly more."""
+    n = max(64, 4 << int(len(hashes) - 1).bit_length()) if len(hashes) else 64
     bucket = (S.mix64(hashes) & _U(n - 1)).astype(np.int64)
     return np.packbits((np.bincount(bucket, minlength=n) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -289,7 +289,7 @@ def _folded(maps: list[bytes], size: int) -> np.ndarray:
 
 def _block_pairs(percent: int):
     """Pairs of two blocks of a group that lie in different components and that
-    sizes and bitmaps allow to link."""
+    sizes and bitmaps allow to link: folded to one size first, then whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,26 +300,31 @@ def _block_pairs(percent: int):
                 n, component, node = ([np.array([m[c] for m in side], np.int64) for side in (x, y)] for c in ("n", "component", "node"))
                 for i in range(len(x)):
                     apart = np.bitwise_count(bits[0][i] ^ bits[1]).sum(axis=1)
-                    both = n[0][i] + n[1]
-                    near = (apart <= both * (100 - percent) // (100 + percent)) & (component[1] != component[0][i])
+                    most = (n[0][i] + n[1]) * (100 - percent) // (100 + percent)
+                    near = (apart <= most) & (component[1] != component[0][i])
                     near &= 100 * np.minimum(n[0][i], n[1]) >= percent * np.maximum(n[0][i], n[1])
-                    found = node[1][near]
-                    if len(found):
-                        a, b = np.minimum(found, node[0][i]), np.maximum(found, node[0][i])
+                    whole = [j for j in np.flatnonzero(near).tolist() if bits_apart(x[i]["bitmap"], y[j]["bitmap"]) <= most[j]]
+                    if whole:
+                        a, b = np.minimum(node[1][whole], node[0][i]), np.maximum(node[1][whole], node[0][i])
                         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return run
 
 
-def _hub_pairs(entries: DataFrame) -> DataFrame:
+def _hub_pairs(spark: SparkSession, entries: DataFrame) -> DataFrame:
     """Pairs of each node with the hub of a group it is in: the node that meets
     most others over all its groups. Of a family of near copies that is the
-    text they were made from, which links them all."""
-    group = Window.partitionBy("key")
-    sized = entries.withColumn("met", F.count(F.lit(1)).over(group))
-    degree = sized.groupBy(F.col("node").alias("n")).agg(F.sum("met").alias("degree"))
-    hubs = entries.join(degree, entries["node"] == degree["n"]).withColumn("hub", F.max(F.struct("degree", "node")).over(group)["node"])
-    return hubs.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    text they were made from, which links them all.
+
+    Groups are counted by aggregates written as tables, which the entries are
+    joined with: Spark can split such a join where one group is large.
+    """
+    sized = materialize(spark, entries.groupBy("key").agg(F.count(F.lit(1)).alias("met")), "ngram-sized")
+    degree = entries.join(sized, "key").groupBy("node").agg(F.sum("met").alias("degree"))
+    degree = materialize(spark, degree, "ngram-degree")
+    hubs = entries.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("hub"))
+    hubs = materialize(spark, hubs.select("key", F.col("hub.node").alias("hub")), "ngram-hubs")
+    return entries.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def _open_pairs(spark: SparkSession, entries: DataFrame, sets: DataFrame, links: DataFrame, percent: int, block_nodes: int) -> DataFrame:
@@ -329,11 +334,10 @@ def _open_pairs(spark: SparkSession, entries: DataFrame, sets: DataFrame, links:
     of = sets.join(labels, sets["set"] == labels["node"], "left").select(
         sets["node"].alias("n"), F.coalesce("label", "set").alias("component"), "n_shingles", "bitmap"
     )
-    named = entries.join(of.select("n", "component"), entries["node"] == of["n"]).select("key", "node", "component")
-    group = Window.partitionBy("key")
-    named = named.withColumn("low", F.min("component").over(group)).withColumn("high", F.max("component").over(group))
-    named = named.where("low <> high").withColumn("nodes", F.count(F.lit(1)).over(group))
-    named = materialize(spark, named.select("key", "node", "component", "nodes"), "ngram-open")
+    named = materialize(spark, entries.join(of.select("n", "component"), entries["node"] == of["n"]).select("key", "node", "component"), "ngram-named")
+    ends = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("nodes"))
+    ends = materialize(spark, ends.where("low <> high").select("key", "nodes"), "ngram-ends")
+    named = materialize(spark, named.join(ends, "key"), "ngram-open")
     # Small groups give their pairs, which recur from signature to signature;
     # larger ones are compared in blocks.
     small = named.where(F.col("nodes") <= SMALL_GROUP)
@@ -365,13 +369,14 @@ def join(
 
     known = docs.where(F.col("doc_id").isNotNull())
     frequent = spark.sparkContext.broadcast(frequent_shingles(spark, known, info.count(), words))
-    by = Window.partitionBy("signature")
-    rows = signed(known, words, percent, frequent)
-    met = rows.withColumn("first", F.min("node").over(by)).withColumn("last", F.max("node").over(by)).where("first <> last")
-    entries = materialize(spark, met.select(F.col("signature").alias("key"), "node").distinct(), "ngram-entries")
+    rows = signed(known, words, percent, frequent).withColumnRenamed("signature", "key")
+    # Most signatures are of one set: signing again costs less than a table of all.
+    met = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
+    met = materialize(spark, met.select("key"), "ngram-met")
+    entries = materialize(spark, rows.join(some_ids(met, "key"), "key", "left_semi").distinct(), "ngram-entries")
     # Sets that differ but share the 64-bit node hash (not the check) are a pair too.
     clash = sets.groupBy("node").count().where("count > 1").select(F.col("node").alias("a"), F.col("node").alias("b"))
-    star = _hub_pairs(entries).unionByName(clash)
+    star = _hub_pairs(spark, entries).unionByName(clash)
     links = linked(spark, docs, sets, star, words, percent)
     more = _open_pairs(spark, entries, sets, links, percent, block_nodes)
     links = links.unionByName(linked(spark, docs, sets, more, words, percent))
