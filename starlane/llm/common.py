@@ -77,6 +77,24 @@ def some_ids(ids: DataFrame, column: str) -> DataFrame:
     return ids.where(F.col(column) >= F.lit(-(2**63)))
 
 
+def first_by_hash(rows: DataFrame, number: int, hashed: str) -> DataFrame:
+    """At most ``number`` of the distinct ``rows``: the least by the 64-bit hash in
+    that column, as unsigned, then by all columns.
+
+    One count of the hashes' leading zero bits tells how many bits leave enough
+    rows, so about twice ``number`` rows meet at most, however many there are.
+    """
+    zeros = (F.lit(64) - F.length(F.bin(F.col(hashed)))).alias("zeros")
+    counts = dict(rows.select(hashed).distinct().groupBy(zeros).count().collect())  # at most 65 rows
+    least, held = max(counts, default=0), 0
+    for least in sorted(counts, reverse=True):
+        held += counts[least]
+        if held >= number:
+            break
+    some = rows.where(zeros >= least).distinct()
+    return some.orderBy(zeros.desc(), hashed, *rows.columns).limit(number)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

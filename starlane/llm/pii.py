@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.llm.common import text_or_empty
+from starlane.llm.common import first_by_hash, text_or_empty
 from starlane.llm.shingles import slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -386,9 +386,9 @@ def spelled(spans: list[Span]) -> str:
 
 
 def train(spark: SparkSession, docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Fit on at most ``sample_docs`` documents, the first by a hash of id and text."""
+    """Fit on at most ``sample_docs`` distinct documents, the first by a hash of id and text."""
     some = docs.select("doc_id", text_or_empty().alias("text")).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS))
-    some = some.select(F.xxhash64("doc_id", "text").alias("h"), "text").orderBy("h", "text").limit(sample_docs)
+    some = first_by_hash(some.select(F.xxhash64("doc_id", "text").alias("h"), "text"), sample_docs, "h")
     rng = np.random.default_rng(SEED)
     x, y = training_windows([r["text"] for r in some.collect()], rng)
     model = Model(rng)
