@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlane.llm import shingles as S
-from starlane.llm.common import text_or_empty
+from starlane.llm.common import first_by_hash, text_or_empty
 
 # The bound of the training sample, and the parameters of the fit.
 SAMPLE_ROWS = 30_000
@@ -201,7 +201,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows:
     """Fit on labelled documents outside the held-out third, at most ``sample_rows`` of them."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").cast("int").alias("_y"))
-    known = known.orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
+    known = first_by_hash(known.withColumn("_h", F.xxhash64("_id")), sample_rows, "_h").drop("_h")
     # At most sample_rows ids: a bounded broadcast.
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), text_or_empty().alias("text"))
     rows = rows.join(F.broadcast(known), "_id").select("_y", "text")
