@@ -203,3 +203,16 @@ def test_sketches_estimate_likeness_and_containment_and_merge():
     assert sketch.likeness(both, y) > 0.99
     empty, word = sketch.sketches(["", "word"])
     assert sketch.likeness(empty, empty) == 1.0 and sketch.likeness(empty, word) == 0.0 and sketch.likeness(word, word) == 1.0
+
+
+def test_first_by_hash_takes_the_least_hashes_of_distinct_rows(spark):
+    from pyspark.sql import functions as F
+
+    from starlane.llm.common import first_by_hash
+
+    # A third of the rows are one row.
+    rows = spark.range(3000).select(F.greatest(F.lit(1000), "id").alias("id")).withColumn("h", F.xxhash64("id"))
+    order = sorted({(r["h"] % 2**64, r["id"]) for r in rows.collect()})
+    for number in (0, 1, 7, 600, 5000):
+        assert sorted((r["h"] % 2**64, r["id"]) for r in first_by_hash(rows, number, "h").collect()) == order[:number]
+    assert first_by_hash(rows.limit(0), 5, "h").collect() == []
