@@ -58,3 +58,20 @@ def test_places_are_numbered_in_the_sorted_partitions(spark):
             spark.conf.set(k, v)
     assert sorted((r.k, r.place) for r in rows) == [(i, i + 1) for i in range(1000)]
     assert len({r.task for r in rows}) > 1
+
+
+def test_landing_shuffles_each_table_once_for_its_join_at_every_size(spark, tmp_dir):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from starlane.sources import fixture
+
+    p = _plan(fixture.trip_feed(spark, SF_SMALL))
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", p)
+    assert sorted(keys) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey"]
+    # The rows are written from the partitions they come in, not shuffled again.
+    raw = spark.range(0, 600, 1, 3).select("id", F.when(F.col("id") % 2 == 0, "yellow").otherwise("green").alias("taxi_type"))
+    root = fixture.land_raw(raw, f"{tmp_dir}/raw")
+    assert len(glob.glob(f"{root}/taxi_type=green/*.parquet")) == 3
+    assert spark.read.parquet(root).count() == 600
