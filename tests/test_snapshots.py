@@ -185,3 +185,51 @@ def test_empty_batches(spark, tmp_dir):
     insert_new(spark, target, trips(spark, [OCT]))
     insert_new(spark, target, empty)
     assert read_fact(spark, target).count() == 1
+
+
+@pytest.mark.parametrize("load", ["insert", "upsert"])
+def test_a_large_batch_asks_the_stored_ids_of_its_months_not_all_filter_words(spark, tmp_dir, monkeypatch, load):
+    target = f"{tmp_dir}/fact"
+    monkeypatch.setattr(snapshots, "SMALL_BATCH", 1)
+
+    def asked(*args):
+        raise AssertionError("filters asked")
+
+    monkeypatch.setattr(FactTable, "may_hold", asked)
+    put = {"insert": insert_new, "upsert": lambda *a: load_incremental(*a, "upsert")}[load]
+    put(spark, target, trips(spark, hours(SEP, 30) + hours(OCT, 60), payment_type=2))
+    put(spark, target, trips(spark, hours(OCT - timedelta(days=2), 20), payment_type=2))  # late, shares no trip
+    put(spark, target, trips(spark, hours(OCT, 60) + [NOV], payment_type=1))
+    table = FactTable(spark, target)
+    rows = [(p.month, p.rows) for p in table.snapshot().pieces]
+    assert sorted(rows) == [(202409, 30), (202410, 20), (202410, 60), (202411, 1)] or sum(n for _, n in rows) == 111
+    paid = {r.payment_type_id: r["count"] for r in read_fact(spark, target).groupBy("payment_type_id").count().collect()}
+    assert paid == ({2: 110, 1: 1} if load == "insert" else {2: 50, 1: 61})
+    assert table.read().select("trip_id").distinct().count() == 111
+    table.expire()
+    assert not glob.glob(f"{target}/_met/*") and table.read().count() == 111
+
+
+def test_what_a_large_batch_may_share_is_filtered_before_its_shuffle(spark, tmp_dir, monkeypatch):
+    """Spark puts a Bloom filter of the batch's ids on the scan of the stored ones."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    target = f"{tmp_dir}/fact"
+    insert_new(spark, target, trips(spark, hours(OCT, 300)))
+    monkeypatch.setattr(snapshots, "SMALL_BATCH", 1)
+    plans, real = [], DataFrameWriter.parquet
+
+    def noted(self, path, *a, **k):
+        if "/_met/" in path:
+            plans.append(plan_of(self._df))
+        return real(self, path, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        insert_new(spark, target, trips(spark, hours(OCT + timedelta(hours=100), 300)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(plans) == 1 and "might_contain" in plans[0]
+    assert read_fact(spark, target).count() == 400
