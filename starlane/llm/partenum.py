@@ -9,8 +9,8 @@ at least n - k parts hold exactly the same shingles of both. The signature of
 a part is a hash of the shingles a set has in it, so linked sets share one.
 
 That holds for any part of the domain: linked sets differ in at most k of its
-shingles. The first partition leaves out shingles that a sample shows to be
-frequent (shared passages, common lines), which would sign for unlike sets.
+shingles. The first partition leaves out shingles that are frequent over all
+documents (shared passages, common lines), which would sign for unlike sets.
 Empty parts sign nothing. A set with fewer than n - k empty parts shares a
 signature with anything it links to; the others sign for further, independent
 partitions of the whole domain, and at last for every single shingle.
@@ -50,11 +50,13 @@ PARTITIONS = 6
 # blocks of about so many nodes.
 SMALL_GROUP = 16
 BLOCK_NODES = 500
-# Frequent shingles: in so many of about so many sampled documents. They only
-# steer which signatures are made; the links found are the same for any choice.
-SAMPLE_DOCS = 10_000
+# Frequent shingles: in so many of so many documents. They only steer which
+# signatures are made; the links found are the same for any choice.
+PER_DOCS = 10_000
 FREQUENT = 5
 MOST_FREQUENT = 1_000_000
+# All documents are counted, in runs of about so many shingles.
+COUNTED = 2_000_000
 
 _U = np.uint64
 
@@ -162,36 +164,51 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
 
 
+def _repeated(held: list[np.ndarray]) -> pa.RecordBatch:
+    """Rows of ``described`` for the shingles that are in two or more of these sets."""
+    found, seen = np.unique(np.concatenate(held), return_counts=True)
+    found, seen = found[seen > 1], seen[seen > 1]
+    none = [pa.nulls(len(found), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+    columns = [none[0], none[1], pa.array(found.view(np.int64)), none[2], none[3], pa.array(seen)]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "check", "bitmap", "seen"])
+
+
 def described(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, n_shingles, node and check (hashes of the set), bitmap."""
+    """doc_id, n_shingles, node and check (hashes of the set), bitmap of each row,
+    with a null ``seen``; and between them a row for each shingle (``node``) that
+    ``seen`` documents of a run have, two or more: runs of about COUNTED shingles
+    inside a task, so the counts are of all documents and their memory is bounded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
             for part in S.slices(batch):
                 sets, off = _sets_of(part, words)
                 node, check = (x.view(np.int64) for x in _prints(sets, off))
                 maps = [bitmap(sets[a:b]) for a, b in zip(off, off[1:], strict=False)]
-                columns = [pa.array(np.diff(off)), pa.array(node), pa.array(check), pa.array(maps, pa.binary())]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], ["doc_id", "n_shingles", "node", "check", "bitmap"])
+                columns = [pa.array(np.diff(off)), pa.array(node), pa.array(check), pa.array(maps, pa.binary()), pa.nulls(len(node), pa.int64())]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], ["doc_id", "n_shingles", "node", "check", "bitmap", "seen"])
+                held.append(sets)
+                if sum(map(len, held)) >= COUNTED:
+                    yield _repeated(held)
+                    held = []
+        if held:
+            yield _repeated(held)
 
-    return _rows(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, check long, bitmap binary")
+    return _rows(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, check long, bitmap binary, seen long")
 
 
-def frequent_shingles(spark: SparkSession, docs: DataFrame, number: int, words: int = SHINGLE_WORDS) -> np.ndarray:
-    """Hashes, ascending, of shingles in at least FREQUENT of about SAMPLE_DOCS
-    documents of ``number``; at most MOST_FREQUENT, the most frequent ones."""
+def frequent_shingles(info: DataFrame) -> np.ndarray:
+    """Hashes, ascending, of the shingles in FREQUENT of PER_DOCS documents or
+    more; at most MOST_FREQUENT, the most frequent ones.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in S.slices(batch):
-                sets, _ = _sets_of(part, words)
-                yield pa.RecordBatch.from_arrays([pa.array(sets.view(np.int64))], ["h"])
-
-    one_in = max(1, -(-number // SAMPLE_DOCS))
-    sample = _rows(docs).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0)
-    counts = sample.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= FREQUENT)
-    rows = counts.orderBy(F.col("count").desc(), "h").limit(MOST_FREQUENT)
-    return np.sort(rows.select("h").toArrow().column("h").to_numpy().astype(np.int64).view(_U))
+    A run's shingles of one document only are left out of the sum: it is less
+    than the true count by the number of runs at most.
+    """
+    least = max(FREQUENT, info.where("seen is null").count() * FREQUENT // PER_DOCS)
+    counts = info.where("seen is not null").groupBy("node").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= least)
+    rows = counts.orderBy(F.col("seen").desc(), "node").limit(MOST_FREQUENT)
+    return np.sort(rows.select("node").toArrow().column("node").to_numpy().astype(np.int64).view(_U))
 
 
 def signed(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, frequent=None) -> DataFrame:
@@ -359,7 +376,8 @@ def join(
     spark: SparkSession, docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, block_nodes: int = BLOCK_NODES
 ) -> DataFrame:
     """doc_id, n_shingles, component_id of each document."""
-    info = materialize(spark, described(docs, words), "ngram-info")
+    described_rows = materialize(spark, described(docs, words), "ngram-info")
+    info = described_rows.where("seen is null").drop("seen")
     named = info.where("n_shingles > 0 and doc_id is not null")
     sets = named.groupBy("node", "check").agg(
         F.min("doc_id").alias("set_id"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap")
@@ -368,7 +386,7 @@ def join(
     sets = materialize(spark, sets.withColumn("set", F.monotonically_increasing_id()), "ngram-distinct")
 
     known = docs.where(F.col("doc_id").isNotNull())
-    frequent = spark.sparkContext.broadcast(frequent_shingles(spark, known, info.count(), words))
+    frequent = spark.sparkContext.broadcast(frequent_shingles(described_rows))
     rows = signed(known, words, percent, frequent).withColumnRenamed("signature", "key")
     # Most signatures are of one set: signing again costs less than a table of all.
     met = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")

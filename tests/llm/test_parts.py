@@ -216,3 +216,18 @@ def test_first_by_hash_takes_the_least_hashes_of_distinct_rows(spark):
     for number in (0, 1, 7, 600, 5000):
         assert sorted((r["h"] % 2**64, r["id"]) for r in first_by_hash(rows, number, "h").collect()) == order[:number]
     assert first_by_hash(rows.limit(0), 5, "h").collect() == []
+
+
+def test_frequent_shingles_are_counted_over_all_documents(spark, monkeypatch):
+    """120 documents in four tasks; one passage is in 24 of them, one in 6. At 1 in
+    10 only the first is frequent, and each document's own words are not."""
+    passages = {5: "the same passage in every fifth text", 20: "now and then a rarer passage"}
+    rows = [(i, f"own{i} words{i} of{i} text{i} number{i} {passages[20] if i % 20 == 1 else passages[5] if i % 5 == 0 else ''}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(partenum, "PER_DOCS", 50)
+    info = partenum.described(docs)
+    found = set(partenum.frequent_shingles(info).tolist())
+    words = partenum.S.words(*partenum.S.utf8(pa.array([passages[5]])), lower=True)
+    wanted = set(partenum.S.shingle_sets(words, partenum.SHINGLE_WORDS)[0].tolist())
+    assert found == wanted and len(wanted) == 3
+    assert info.where("seen is null").count() == 120
