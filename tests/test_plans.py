@@ -75,3 +75,42 @@ def test_landing_shuffles_each_table_once_for_its_join_at_every_size(spark, tmp_
     root = fixture.land_raw(raw, f"{tmp_dir}/raw")
     assert len(glob.glob(f"{root}/taxi_type=green/*.parquet")) == 3
     assert spark.read.parquet(root).count() == 600
+
+
+def test_fact_is_shuffled_without_the_columns_that_follow_from_others(spark):
+    from starlane.operators.enrich import DERIVED
+    from starlane.operators.facts import build_fact_by_month
+
+    m = TripModel(spark, SF_SMALL)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        build_fact_by_month(m.enriched, params=m.p.enrich).explain("formatted")
+    shuffled = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", buf.getvalue())
+    assert len(shuffled) == 2  # for the dedupe, for the months
+    for columns in shuffled:
+        names = {c.split("#")[0].strip() for c in columns.split(",")}
+        assert {"trip_id", "pickup_datetime", "total_amount"} <= names
+        assert not names & {*DERIVED, "pickup_date_key", "pickup_time_key", "dropoff_date_key", "dropoff_time_key"}
+
+
+def test_fact_by_month_has_the_rows_of_the_plain_one(spark, tmp_dir):
+    """With other parameters than the defaults, and orders by a derived column, by name or not."""
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from starlane.operators.enrich import EnrichParams, enrich
+    from starlane.operators.facts import FACT_COLUMNS, build_fact_by_month, dedupe, fact_rows
+    from starlane.operators.incremental import read_fact, write_fact
+
+    m = TripModel(spark, SF_SMALL)
+    p = EnrichParams(card_payment_id=2, min_distance_for_fare=3.0)
+    rows = enrich(m.trips_union.withColumn("_loaded_at", F.lit("2024-01-01 00:00:00").cast("timestamp")), p)
+    for i, order in enumerate((["payment_type_id"], ["tip_percentage", "payment_type_id"], [F.col("tip_percentage").desc(), "payment_type_id"])):
+        plain = dedupe(fact_rows(rows), ["trip_id"], order).select(*FACT_COLUMNS)
+        write_fact(build_fact_by_month(rows, order, p), f"{tmp_dir}/{i}", balanced=True)
+        got = read_fact(spark, f"{tmp_dir}/{i}")
+        assert got.dtypes == plain.dtypes
+        assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0 < got.count()
+        months = glob.glob(f"{tmp_dir}/{i}/pickup_month=*")
+        assert len(glob.glob(f"{tmp_dir}/{i}/pickup_month=*/*.parquet")) == len(months) > 12
