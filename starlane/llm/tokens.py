@@ -1,11 +1,11 @@
 """Token ids of whole texts by a public tokenizer file, in Arrow batches.
 
 The tokenizers library encodes. Texts are cut where the tokenizer cuts anyway,
-in front of a space that a visible character follows. A batch's distinct pieces
-are found by Arrow; the new ones go to the library in one call, and the ids of
-all are gathered by index. Where probes show that runs of letters and of marks
-are tokenizer words, a piece of such runs gets theirs, and runs of letters go
-straight to the tokenizer's model. A text with
+in front of a space that a visible character follows and, where probes show
+that runs of letters and of marks are tokenizer words, between such runs. The
+cuts are found in a batch's bytes at once, its distinct runs by Arrow; the new
+ones go to the library in one call, runs of letters straight to the
+tokenizer's model, and the ids of all are gathered by index. A text with
 white space after a space, or with the string of an added token
 (<|endoftext|>), is encoded whole.
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,23 +24,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlane.llm.common import text_or_empty
-from starlane.llm.shingles import slices
+from starlane.llm.shingles import slices, utf8
 
 END_ID = 0
-# Distinct pieces a worker remembers; beyond them it starts anew.
-CACHE_PIECES = 400_000
-# Bytes of text whose distinct pieces are looked up at once; a longer text is a
+# Distinct runs a worker remembers; beyond them it starts anew.
+CACHE_RUNS = 500_000
+# Bytes of text whose distinct runs are looked up at once; a longer text is a
 # slice of its own.
 BATCH_BYTES = 4 << 20
 
 # Runs of Latin letters that no normalisation but the lower case touches (all
 # up to U+024F but the dotted capital I, which turns into two characters), and
-# of marks: such runs are tokenizer words. _END and _SPLIT separate pieces.
+# of marks: such runs are tokenizer words. A piece (up to the next space) of
+# other characters, or with a line feed that does not stand between runs, is
+# encoded whole.
 _MARKS = ".,;:!?$%&*#|"
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
-_END, _SPLIT = "\x00", "\x01"
-_RUNS = re.compile(rf" ?[{_LATIN}]+| ?[{_MARKS}]+|\n|{_END}")
-_PLAIN = re.compile(rf" ?[{_LATIN}{_MARKS}]+(?:\n[{_LATIN}{_MARKS}]+)*")
+_SPLIT = "\x01"
+_RUNS = re.compile(rf" ?[{_LATIN}]+| ?[{_MARKS}]+|\n")
+_LETTER, _MARK, _LINE, _SPACE, _OTHER = range(5)
+
+
+def _kinds() -> np.ndarray:
+    """What a byte of UTF-8 belongs to; the bytes C3 to C9 begin the letters from U+00C0 on."""
+    kinds = np.full(256, _OTHER, np.uint8)
+    kinds[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = _LETTER
+    kinds[list(_MARKS.encode())], kinds[ord("\n")], kinds[ord(" ")] = _MARK, _LINE, _SPACE
+    return kinds
+
+
+_KINDS = _kinds()
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[65:91] += 32
+# Characters of two bytes that begin as letters do and are none of the above.
+_NO_LETTERS = np.zeros(1 << 16, bool)
+_NO_LETTERS[[0xC397, 0xC3B7, 0xC4B0, *range(0xC990, 0xC9C0)]] = True
+_MAY_BE_NONE = np.zeros(256, bool)
+_MAY_BE_NONE[[0xC3, 0xC4, 0xC9]] = True
 _PROBES = ("a", "the", "Zebra", "ouath", "thinginon", "ing", "qzx", "WORD", "êtreÉ", "straße", "ñandú", "ÿœĂ")
 
 
@@ -76,9 +96,6 @@ class _Pool:
         self.counts[known : known + len(names)] = counts
         self.used += len(ids)
 
-    def places(self, names: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.at.__getitem__, names), np.int64, len(names))
-
     def runs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of strings one after another, and how many each has."""
         counts = self.counts[at]
@@ -87,6 +104,30 @@ class _Pool:
         return self.flat[np.repeat(self.starts[at] - (ends - counts), counts) + np.arange(total)], counts
 
 
+def _cut(data: np.ndarray, off: np.ndarray, apart: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the runs of texts begin, which of them are runs of letters, and
+    which bytes are in pieces that are encoded whole."""
+    kinds = _KINDS[data]
+    edge = kinds == _SPACE
+    edge[off[:-1][off[:-1] < off[1:]]] = True
+    pieces = np.flatnonzero(edge)
+    # A line feed needs a letter or a mark of its piece on both sides.
+    lines = np.flatnonzero(kinds == _LINE)
+    ends = np.append(edge[1:], True)
+    near = np.append(kinds, _OTHER)
+    lines = lines[edge[lines] | ends[lines] | (near[lines - 1] > _MARK) | (near[lines + 1] > _MARK)]
+    lead = np.flatnonzero(_MAY_BE_NONE[data])
+    lead = lead[_NO_LETTERS[data[lead].astype(np.int64) << 8 | data[lead + 1]]]
+    odd = np.concatenate([np.flatnonzero(kinds == _OTHER), lines, lead])
+    whole = np.full(len(pieces), not apart)
+    whole[np.searchsorted(pieces, odd, "right") - 1] = True
+    inside = np.repeat(whole, np.diff(pieces, append=len(data)))
+    cut = (kinds[1:] != kinds[:-1]) & (kinds[:-1] != _SPACE) & ~inside[1:]
+    starts = np.flatnonzero(edge | np.concatenate([[False], cut]))
+    last = np.append(starts[1:], len(data)) - 1
+    return starts, (kinds[last] == _LETTER) & ~inside[starts], inside
+
+
 class PieceEncoder:
     """Ids of texts as little-endian bytes, one width for all."""
 
@@ -110,8 +151,7 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.words, self.pieces = _Pool(self.dtype), _Pool(self.dtype)
-        self.words.add([_END], np.zeros(0, self.dtype), np.zeros(1, np.int64))
+        self.pool = _Pool(self.dtype)
 
     def _model(self, words: list[str]) -> list[list[int]]:
         """Ids of runs of letters by the tokenizer's model alone, which reads
@@ -132,28 +172,21 @@ class PieceEncoder:
         counts = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), self.dtype, int(counts.sum())), counts
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Remember the ids of new pieces: plain ones from those of their runs."""
-        odd = pieces
-        if self.apart:
-            plain = [p for p in pieces if _PLAIN.fullmatch(p)]
-            odd = list(set(pieces).difference(plain))
-            runs = _RUNS.findall(_END.join([*plain, ""]))
-            new = set(runs).difference(self.words.at)
-            letters = [w for w in new if self.plain and w[-1].isalpha()]
-            self.words.add(letters, *self._flat(self._model(letters)))
-            others = list(new.difference(letters))
-            self.words.add(others, *self._library(others))
-            at = self.words.places(runs)
-            ids, counts = self.words.runs(at)
-            ends = np.flatnonzero(at == self.words.at[_END])
-            sums = np.concatenate([[0], np.cumsum(counts)])
-            self.pieces.add(plain, ids, np.diff(sums[ends], prepend=0))
-        self.pieces.add(odd, *self._library(odd))
+    def _places(self, runs: list[str], letters: np.ndarray) -> np.ndarray:
+        """Where the pool holds distinct runs; the ids of new ones are learned."""
+        known = self.pool.at
+        at = np.fromiter(map(known.get, runs, repeat(-1)), np.int64, len(runs))
+        for some, learn in ((letters, lambda new: self._flat(self._model(new))), (~letters, self._library)):
+            places = np.flatnonzero((at < 0) & some)
+            if len(places):
+                at[places] = len(known) + np.arange(len(places))
+                new = [runs[i] for i in places.tolist()]
+                self.pool.add(new, *learn(new))
+        return at
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each has."""
-        if len(self.pieces.at) > CACHE_PIECES or len(self.words.at) > CACHE_PIECES:
+        if len(self.pool.at) > CACHE_RUNS:
             self._forget()
         whole = texts.to_pylist()
         odd = [i for i, t in enumerate(whole) if self.strange.search(t)]
@@ -164,23 +197,21 @@ class PieceEncoder:
             ids, counts = self._library(texts.take(pa.array(odd)).to_pylist())
             more, sizes = self.encode(plain) if len(plain) else (np.zeros(0, self.dtype), np.zeros(0, np.int64))
             return _interleaved(keep, (more, sizes), (ids, counts))
-        # The space that a piece begins with is put back in front of it; the
-        # first piece of a text has none.
-        lists = pc.split_pattern(texts.cast(pa.string()), " ")
-        offsets = np.asarray(lists.offsets, np.int64)
-        offsets = offsets - offsets[0]
-        found = lists.flatten().dictionary_encode()
-        places = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        pieces = pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), found.dictionary)
-        held = (" " + pc.binary_join(pieces, _SPLIT + " ")[0].as_py()).split(_SPLIT) if len(found.dictionary) else []
-        heads = [t.split(" ", 1)[0] for t in whole]
-        new = list({*held, *heads}.difference(self.pieces.at))
-        if new:
-            self._learn(new)
-        at = self.pieces.places(held)[places]
-        at[offsets[:-1]] = self.pieces.places(heads)
-        ids, counts = self.pieces.runs(at)
-        ends = np.concatenate([[0], np.cumsum(counts)])[offsets]
+        data, off = utf8(texts)
+        if not len(data):
+            return np.zeros(0, self.dtype), np.zeros(len(texts), np.int64)
+        starts, letters, inside = _cut(data, off, self.apart)
+        if self.drops_case:
+            data = np.where(inside, data, _LOWERED[data])
+        offsets = pa.py_buffer(np.append(starts, len(data)).astype(np.int32))
+        found = pa.Array.from_buffers(pa.string(), len(starts), [None, offsets, pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        places = found.indices.to_numpy(zero_copy_only=False)
+        of_letters = np.zeros(len(found.dictionary), bool)
+        of_letters[places] = letters & self.plain
+        runs = pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), found.dictionary)
+        at = self._places(pc.binary_join(runs, _SPLIT)[0].as_py().split(_SPLIT), of_letters)
+        ids, counts = self.pool.runs(at[places])
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, off)]
         return ids, np.diff(ends)
 
     def ids(self, texts: pa.Array, end: int) -> pa.Array:

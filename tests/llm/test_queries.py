@@ -130,6 +130,25 @@ def test_pieces_are_encoded_as_the_library_does(name):
         assert [np.frombuffer(x, encoder.dtype).tolist() for x in found] == want
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_runs_are_learned_once_whatever_stands_beside_them(name):
+    """Words are remembered by themselves, not with each mark or line that follows; odd pieces stay whole."""
+    import pyarrow as pa
+
+    from starlane.llm import tokens
+
+    marks = [".", ",", ";", "!!", "?", "|", "\n"]
+    words = [a + b for a in "abcdefghij" for b in ("one", "TWO", "ñandú", "étÉ", "ŀo", "ɏ")]
+    texts = [" ".join(f"{w}{m}{words[i - 1]}" for i, w in enumerate(words)) for m in marks]
+    encoder = tokens.PieceEncoder(tokenizer_path(name))
+    odd = ["\nab", "ab\n cd", "ab\n\ncd", "ab.\n,cd", "a×b c÷d İe ɐf", "x1 y-z", "\n", "", "Ab\n"]
+    for some in (texts, odd):
+        found = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.ids(pa.array(some), 0).to_pylist()]
+        assert found == [encoder.tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in some]
+    held = sum(len(p.at) for p in vars(encoder).values() if isinstance(p, tokens._Pool))
+    assert held <= 2 * len(words) + len(marks) + 20
+
+
 def test_huffman_corpus_in_small_blocks(spark, odd, tmp_path):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     path = str(tmp_path / "coded")
