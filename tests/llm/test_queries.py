@@ -403,6 +403,26 @@ def test_line_dedup_ends_on_very_long_lines(spark):
     assert time.time() - start < 60
 
 
+def test_line_dedup_meets_a_share_of_the_keys_at_a_time(spark, monkeypatch):
+    """Tiers of line lengths, and slices of a large tier, meet one after another, with the same lines found."""
+    import random
+
+    r = random.Random(11)
+    text = lambda n: "".join(r.choice("abcdef ghijk") for _ in range(n)).replace("  ", "xy").strip() + "z"
+    lines = [text(n) for n in (30, 45, 58, 59, 61, 110, 119, 121, 160, *[305] * 9)]
+    near = [x[: len(x) // 3] + "Q" + x[len(x) // 3 + 1 :] + "R" * (len(x) // 60) for x in lines[::2]]
+    rows = [(i, x) for i, x in enumerate([*lines, *near, "\n".join(lines[1:4])])]
+    monkeypatch.setattr(line_dedup, "PASSES", 4, raising=False)
+    monkeypatch.setattr(line_dedup, "PASS_CHARS", 1, raising=False)
+    names, real = [], line_dedup.materialize
+    monkeypatch.setattr(line_dedup, "materialize", lambda s, df, name: names.append(name) or real(s, df, name))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.deduplicated(spark, docs).select("doc_id", "__lines", "__removed", "text").collect()
+    assert sorted((x[0], x[1], x[2], brute.sha(x[3])) for x in found) == sorted(brute.line_dedup(rows))
+    assert sum(x[2] for x in found) >= len(near)
+    assert names.count("line-met") >= 4
+
+
 def test_line_dedup_passes_columns_of_any_name(spark):
     line = "a line of some twenty and more characters"
     names = ["__new", "__key", "old", "lines", "removed", "row", "a.b", "id", "stay"]
