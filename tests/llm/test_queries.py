@@ -423,6 +423,32 @@ def test_line_dedup_meets_a_share_of_the_keys_at_a_time(spark, monkeypatch):
     assert names.count("line-met") >= 4
 
 
+def test_line_dedup_tells_unlike_lines_of_one_passage_by_their_letters(spark, monkeypatch):
+    """Lines that share a passage are not all compared; near ones among them still go."""
+    import random
+
+    r = random.Random(41)
+    passage = "".join(r.choice("etaonisr") for _ in range(60))
+    lines = [passage + "".join(r.choice("etaonisr") for _ in range(140)) for _ in range(60)]
+    lines += [x[:90] + "Q" + x[91:] for x in lines[::10]]
+    held, real = {}, line_dedup.materialize
+    monkeypatch.setattr(line_dedup, "materialize", lambda s, df, name: held.setdefault(name, []).append(real(s, df, name)) or held[name][-1])
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = line_dedup.deduplicated(spark, docs).select("doc_id", "__lines", "__removed", "text").collect()
+    assert sorted((x[0], x[1], x[2], brute.sha(x[3])) for x in found) == sorted(brute.line_dedup(list(enumerate(lines))))
+    assert sum(x[2] for x in found) == 6
+    assert sum(x.select("a", "b").count() for x in held["line-candidates"]) < 1_000  # of 2145 pairs
+
+
+def test_line_dedup_drops_probes_that_meet_no_key(spark):
+    keys = spark.range(500).selectExpr("xxhash64(id) as key")
+    probe = spark.range(10_000).selectExpr("xxhash64(id) as key", "id as b", "id as place")
+    left = line_dedup._that_meet(probe, keys)
+    assert left.columns == ["key", "b", "place"]
+    assert {x.b for x in left.collect()} >= set(range(500)) and left.count() < 1_500
+    assert line_dedup._that_meet(probe, keys.limit(0)).count() == 0
+
+
 def test_line_dedup_passes_columns_of_any_name(spark):
     line = "a line of some twenty and more characters"
     names = ["__new", "__key", "old", "lines", "removed", "row", "a.b", "id", "stay"]
