@@ -443,10 +443,10 @@ def test_line_dedup_tells_unlike_lines_of_one_passage_by_their_letters(spark, mo
 def test_line_dedup_drops_probes_that_meet_no_key(spark):
     keys = spark.range(500).selectExpr("xxhash64(id) as key")
     probe = spark.range(10_000).selectExpr("xxhash64(id) as key", "id as b", "id as place")
-    left = line_dedup._that_meet(probe, keys)
+    left = line_dedup._that_meet(probe, keys, 500)
     assert left.columns == ["key", "b", "place"]
     assert {x.b for x in left.collect()} >= set(range(500)) and left.count() < 1_500
-    assert line_dedup._that_meet(probe, keys.limit(0)).count() == 0
+    assert line_dedup._that_meet(probe, keys.limit(0), 0).count() == 0
 
 
 def test_line_dedup_passes_columns_of_any_name(spark):
