@@ -449,6 +449,42 @@ def test_line_dedup_drops_probes_that_meet_no_key(spark):
     assert line_dedup._that_meet(probe, keys.limit(0), 0).count() == 0
 
 
+def test_line_dedup_deletes_tables_it_is_done_with(spark, monkeypatch):
+    """Only small tables stay; pairs are compared once, and a line that repeats itself meets no one."""
+    import os
+    import random
+    from urllib.parse import unquote, urlparse
+
+    r = random.Random(17)
+    text = lambda n: "".join(r.choice("abcdefgh ijk") for _ in range(n - 1)) + "z"
+    base = text(300)
+    edited = lambda x, n: "".join("Q" if i in places else c for places in [r.sample(range(300), n)] for i, c in enumerate(x))
+    lines = [edited(base, 9) for _ in range(12)] + [base] + [edited(base, 9) for _ in range(12)] + ["over and over " * 40]
+    rows = [*enumerate(lines), (100, base), (101, base)]
+    files, counts, pairs, real = {}, Counter(), Counter(), line_dedup.materialize
+
+    def written(s, df, name):
+        table = real(s, df, name)
+        files.setdefault(name, []).extend(unquote(urlparse(f).path) for f in table.inputFiles())
+        counts[name] += table.count()
+        if name == "line-candidates":
+            pairs.update((x.a, x.b) for x in table.collect())
+        return table
+
+    monkeypatch.setattr(line_dedup, "materialize", written)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.deduplicated(spark, docs).select("doc_id", "__lines", "__removed", "text").collect()
+    assert sorted((x[0], x[1], x[2], brute.sha(x[3])) for x in found) == sorted(brute.line_dedup(rows))
+    assert counts["lines"] == 26 and counts["line-met"]
+    left = {name for name, some in files.items() if any(os.path.exists(f) for f in some)}
+    assert left <= {"lines-kept", "line-candidates", "line-compared", "line-gone"}
+    assert pairs and max(pairs.values()) == 1
+
+    counts.clear()
+    assert line_dedup.deduplicated(spark, docs.where("doc_id = 25")).where("__removed > 0").count() == 0
+    assert counts["lines"] == 1 and counts["line-crowd"] == 0
+
+
 def test_line_dedup_passes_columns_of_any_name(spark):
     line = "a line of some twenty and more characters"
     names = ["__new", "__key", "old", "lines", "removed", "row", "a.b", "id", "stay"]
